@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candela.llm import bpe, mixing, secrets, sharding
+from candela.llm import bpe, langid, mixing, mpeg, parsing, secrets, sharding, simhash
 from candela.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,10 +26,18 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), alpha=MIX_ALPHA)
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components(table(spark, sf_dir, "documents"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_mpeg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mpeg.store_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -38,10 +46,23 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), *tokenizer())
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs, langid.training_rows()))
+
+
+def op9_phrase_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsing.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mix_sources": op1_mix_sources,
+        "op3_simhash": op3_simhash,
         "op4_secret_scan": op4_secret_scan,
+        "op5_mpeg_media": op5_mpeg_media,
         "op6_shard": op6_shard,
         "op7_byte_bpe": op7_byte_bpe,
+        "op8_language": op8_language,
+        "op9_phrase_prints": op9_phrase_prints,
     }
