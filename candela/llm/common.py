@@ -19,18 +19,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new path in the folder that the cluster shares; a temporary one where none is set, as in tests."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"/tmp/candela-{spark.sparkContext.applicationId}"
+    return f"{base.rstrip('/')}/candela-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame) -> DataFrame:
-    """The rows of ``df``, computed once and cut from their lineage.
+    """The rows of ``df``, computed once, written as Parquet to the shared folder and read again.
 
-    checkpoint() writes to the folder that the cluster names in
-    ``spark.checkpoint.dir``; executors that are lost later do not matter.
+    This cuts the lineage: executors that are lost later do not matter. The
+    files go when the session's JVM ends.
     """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or f"/tmp/candela-checkpoints/{uuid.uuid4().hex}"
-        )
-    return df.checkpoint()
+    path = shared_folder(spark)
+    df.write.parquet(path)
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def remainder(doc_id: Column, n: int) -> Column:

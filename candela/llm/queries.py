@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candela.llm import bpe, langid, mixing, mpeg, parsing, secrets, sharding, simhash
+from candela.llm import bpe, context_mixing, langid, mixing, mpeg, parsing, secrets, sharding, simhash
 from candela.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,10 @@ def op9_phrase_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsing.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.score_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -65,4 +69,5 @@ def queries() -> dict[str, Query]:
         "op7_byte_bpe": op7_byte_bpe,
         "op8_language": op8_language,
         "op9_phrase_prints": op9_phrase_prints,
+        "op10_context_mixing": op10_context_mixing,
     }
