@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candela.llm import bpe, context_mixing, langid, mixing, mpeg, parsing, secrets, sharding, simhash
+from candela.llm import bpe, context_mixing, html_text, langid, mixing, mpeg, parsing, secrets, sharding, simhash
 from candela.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), alpha=MIX_ALPHA)
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
@@ -59,9 +63,16 @@ def op10_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_mixing.score_documents(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mix_sources": op1_mix_sources,
+        "op2_main_text": op2_main_text,
         "op3_simhash": op3_simhash,
         "op4_secret_scan": op4_secret_scan,
         "op5_mpeg_media": op5_mpeg_media,
@@ -70,4 +81,5 @@ def queries() -> dict[str, Query]:
         "op8_language": op8_language,
         "op9_phrase_prints": op9_phrase_prints,
         "op10_context_mixing": op10_context_mixing,
+        "pipeline": pipeline,
     }
