@@ -36,7 +36,7 @@ from candela.llm.common import slices
 BINS = 64
 LEVELS = 2
 #: Documents in a range of doc_id, on average.
-RANGE_ROWS = 2_000
+RANGE_ROWS = 500
 MOST_RANGES = 20_000
 GOLDEN, MIX_A, MIX_B = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
