@@ -20,8 +20,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: shingles of five words, fingerprints as near as op 3 links them."""
-    return simhash.keep_one(docs, words=5)
+    """One document of each group of near duplicates: shingles of five words, a similarity of about 0.8 or more."""
+    return simhash.keep_one(docs)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
