@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candela.functions.scalars import security_type, stem
+from candela.operators.storage import materialised
 from candela.schemas import CONTINUITY_TOLERANCE, MAX_CHAIN, PRIOR_DAYS, STEM_DAYS
 
 
@@ -52,14 +53,15 @@ def edges(found: DataFrame) -> DataFrame:
 def terminal(links: DataFrame, most: int = MAX_CHAIN) -> DataFrame:
     """isin, canonical_isin, depth: where following the links ends.
 
-    Pointers are doubled, so a chain of twenty takes five joins; a walk that
-    comes back to its start stops before it does.
+    Pointers are doubled, so a chain of twenty takes five joins, each over the
+    written table of the one before; a walk that comes back to its start stops
+    before it does.
     """
-    walk = links.select(
+    walk = materialised(links.select(
         F.col("old_isin").alias("isin"),
         F.col("new_isin").alias("canonical_isin"),
         F.lit(1).alias("depth"),
-    ).filter("isin <> canonical_isin")
+    ).filter("isin <> canonical_isin"))
     hops = 1
     while hops < most:
         following = walk.select(
@@ -67,11 +69,11 @@ def terminal(links: DataFrame, most: int = MAX_CHAIN) -> DataFrame:
         )
         joined = walk.join(following, walk["canonical_isin"] == following["_at"], "left")
         onward = F.col("_next").isNotNull() & (F.col("_next") != F.col("isin"))
-        walk = joined.select(
+        walk = materialised(joined.select(
             "isin",
             F.when(onward, F.col("_next")).otherwise(F.col("canonical_isin")).alias("canonical_isin"),
             (F.col("depth") + F.when(onward, F.col("_more")).otherwise(0)).alias("depth"),
-        )
+        ))
         hops *= 2
     return walk
 
