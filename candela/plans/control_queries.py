@@ -328,7 +328,7 @@ def typed_indices(spark: SparkSession, sf_dir: str) -> DataFrame:
     change = F.when(key % 3 == 0, "N/A").otherwise(F.format_string("%.4f", key * -0.1))
     volume = F.when(key % 2 == 0, F.concat((key * 1000).cast("string"), F.lit(".7"))).otherwise("--")
     raw = table(spark, sf_dir, "nation").select(
-        "n_nationkey", F.concat(F.lit("  "), F.initcap(F.lower("n_name"))).alias("name"), close.alias("c"), change.alias("p"), volume.alias("v")
+        "n_nationkey", F.concat(F.lit("  "), F.lower("n_name")).alias("name"), close.alias("c"), change.alias("p"), volume.alias("v")
     )
     return raw.select(
         "n_nationkey",
@@ -346,10 +346,10 @@ def idx_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed_indices(spark, sf_dir).select("n_nationkey", "index_key", "trade_date", r("close", 4), r("pct_chg", 6), "volume")
 
 
-@query(with_tables(TYPED) + "SELECT trade_date, index_key, round(close, 4) AS close FROM typed WHERE index_key = 'GERMANY'")
+@query(with_tables(TYPED) + "SELECT trade_date, index_key, round(close, 4) AS close FROM typed WHERE index_key = 'NATION_7'")
 def ops_index_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The view of one index."""
-    return operations.index_view(typed_indices(spark, sf_dir), "GERMANY").select("trade_date", "index_key", r("close", 4))
+    return operations.index_view(typed_indices(spark, sf_dir), "NATION_7").select("trade_date", "index_key", r("close", 4))
 
 
 @query(EAP + """SELECT CAST(count(*) FILTER (WHERE anchor IS NOT NULL) AS BIGINT) AS real_gaps, CAST(count(*) FILTER (WHERE anchor IS NULL) AS BIGINT) AS outside_window,
