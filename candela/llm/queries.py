@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from candela.llm import bpe, context_mixing, html_text, langid, mixing, mpeg, parsing, secrets, sharding, simhash
 from candela.llm.common import table
@@ -23,7 +24,8 @@ def tokenizer() -> tuple[str, str]:
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"), alpha=MIX_ALPHA)
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), alpha=MIX_ALPHA)
+    return mixed.withColumn("rate", F.round("rate", 9))
 
 
 def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
