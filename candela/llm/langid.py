@@ -8,8 +8,8 @@ below a share of what its language's own sample shows, so texts in no known
 language stand out while odd or short but clean ones pass.
 
 The classifier is fitted on a bounded sample: ``SAMPLE`` labelled documents of
-each language, those with the smallest hash of their id. Prediction reads
-every text whole.
+each language, ``SAMPLE_ALL`` in all, those with the smallest hash of their id,
+of ``SAMPLE_CHARS`` characters at most. Prediction reads every text whole.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0
 and rejected; equal texts get equal results; no labelled rows give a model
@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 
 from candela.llm.common import map_batches, remainder
 
-#: Labelled documents taken for each language, and languages at most.
-SAMPLE = 400
+#: Labelled documents taken for each language and in all, languages at most, and the longest text that is taken.
+SAMPLE, SAMPLE_ALL = 400, 20_000
 LANGUAGES = 500
+SAMPLE_CHARS = 200_000
 #: Hash buckets of n-grams; lengths of n-grams; centroids of a language.
 BUCKETS = 1 << 14
 ORDERS = (1, 2, 3)
@@ -139,12 +140,13 @@ def fit_texts(labelled: dict[str, list[str]]) -> Centroids:
 
 def fit(docs: DataFrame, learn: Column, sample: int = SAMPLE) -> Centroids:
     """A model from a bounded sample of the labelled rows for which ``learn`` holds."""
-    known = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    known = docs.filter(learn & F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
     mark = F.xxhash64(F.lit("sample"), "doc_id").bitwiseXOR(F.lit(-1 << 63))  # order of unsigned hashes
     share = (F.xxhash64(F.lit("sample"), "doc_id") / F.lit(2.0**64)) + 0.5
     counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
     if not counts:
         return Centroids(np.ones(BUCKETS, "float32"))
+    sample = min(sample, max(1, SAMPLE_ALL // len(counts)))
     # a hash threshold leaves somewhat more than the sample of each language; the rest is cut by order of hash
     limits = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, (sample + 6 * sample**0.5) / r["n"]))])
     taken = known.filter(share <= F.try_element_at(limits, F.col("lang"))).select("lang", "text", mark.alias("mark")).collect()
