@@ -73,7 +73,7 @@ GLUED = (
     (r"(?i)(Per\s+(?:Share|Sh|Unit))\s+(?=Dividend\b)", "$1/"),
     (r"(?i)\b(Interim|Final|Special|Annual)(dividend)\b", "$1 $2"),
 )
-SEPARATOR = r"(?i)\s*(?:/|&|\bAnd\b)\s*"
+SEPARATOR = r"(?i)[\s-]*(?:/|&|\bAnd\b)[\s-]*"
 GUARD = "\u0001"  # stands for '/-' while clauses are cut
 
 
@@ -87,13 +87,16 @@ def group(text: Column, name: str, k: int) -> Column:
 
 
 def split_clauses(purpose: Column) -> Column:
-    """Array of clauses: cut at '/', '&' and 'And', with '/-' kept whole."""
+    """Array of clauses: cut at '/', '&' and 'And', without spaces and dashes at their ends; '/-' is still guarded."""
     text = clean(purpose)
     for pattern, replacement in GLUED:
         text = F.regexp_replace(text, pattern, replacement)
-    parts = F.split(F.replace(text, F.lit("/-"), F.lit(GUARD)), SEPARATOR)
-    trimmed = F.transform(parts, lambda p: F.replace(F.regexp_replace(p, "^[ -]+|[ -]+$", ""), F.lit(GUARD), F.lit("/-")))
-    return F.filter(trimmed, lambda p: p != "")
+    text = F.regexp_replace(F.replace(text, F.lit("/-"), F.lit(GUARD)), "^[ -]+|[ -]+$", "")
+    return F.array_remove(F.split(text, SEPARATOR), "")
+
+
+def unguarded(clause: Column) -> Column:
+    return F.replace(clause, F.lit(GUARD), F.lit("/-"))
 
 
 def find_amount(clause: Column) -> Column:
@@ -117,21 +120,19 @@ class Found:
     confidence: str = "high"
 
 
-def _struct(found: Found) -> Column:
-    column = lambda v, kind: (v if isinstance(v, Column) else F.lit(v)).cast(kind)
-    reason = column(found.reason, "string")
-    return F.struct(
-        column(found.type, "string").alias("type"),
-        column(found.num, "decimal(24,8)").alias("ratio_num"),
-        column(found.den, "decimal(24,8)").alias("ratio_den"),
-        column(found.premium, "decimal(24,8)").alias("premium"),
-        column(found.sub_price, "decimal(24,8)").alias("sub_price"),
-        column(found.amount, "decimal(20,6)").alias("div_amount"),
-        column(found.special, "boolean").alias("is_special"),
-        reason.isNull().alias("parsed_ok"),
-        F.when(reason.isNotNull(), "low").otherwise(found.confidence).alias("confidence"),
-        reason.alias("review_reason"),
-    )
+#: A component's fields with their types; parsed_ok and confidence follow from reason.
+FIELDS = {
+    "type": "string",
+    "num": "decimal(24,8)",
+    "den": "decimal(24,8)",
+    "premium": "decimal(24,8)",
+    "sub_price": "decimal(24,8)",
+    "amount": "decimal(20,6)",
+    "special": "boolean",
+    "reason": "string",
+    "confidence": "string",
+}
+NAMES = {"num": "ratio_num", "den": "ratio_den", "amount": "div_amount", "special": "is_special", "reason": "review_reason"}
 
 
 Rule = tuple[Callable[[Column], Column], Callable[[Column, Column], Found]]
@@ -211,13 +212,38 @@ RULES: tuple[Rule, ...] = (
 )
 
 
-def classify(clause: Column, face_value: Column) -> Column:
-    """The component struct of one clause."""
-    out: Column | None = None
-    for condition, make in RULES:
-        struct = _struct(make(clause, face_value))
-        out = F.when(condition(clause), struct) if out is None else out.when(condition(clause), struct)
-    return out.otherwise(_struct(Found("UNKNOWN", reason="unparsed_pattern")))
+#: Number of the rule for what no rule knows, and of a neutralised headline.
+UNKNOWN, NEUTRAL = len(RULES), len(RULES) + 1
+OUTCOMES = (*[make for _, make in RULES], _just("UNKNOWN", "unparsed_pattern"), _just("NO_ADJUST"))
+
+
+def rule_of(clause: Column) -> Column:
+    """The number of the first rule that matches a clause."""
+    number = F.lit(UNKNOWN)
+    for k in range(len(RULES) - 1, -1, -1):
+        number = F.when(RULES[k][0](clause), k).otherwise(number)
+    return number
+
+
+def component(rule: Column, clause: Column, face_value: Column) -> dict[str, Column]:
+    """The component's fields, given the number of its rule: each field looks at its own patterns only."""
+    found = [make(clause, face_value) for make in OUTCOMES]
+    out = {}
+    for name, kind in FIELDS.items():
+        values = [(k, getattr(f, name)) for k, f in enumerate(found)]
+        plain: dict[object, list[int]] = {}
+        chain = F.lit(None)
+        for k, v in values:
+            if isinstance(v, Column):
+                chain = F.when(rule == k, v).otherwise(chain)
+            elif v is not None:
+                plain.setdefault(v, []).append(k)
+        for v, rules in plain.items():
+            chain = F.when(rule.isin(*rules), v).otherwise(chain)
+        out[NAMES.get(name, name)] = chain.cast(kind)
+    out["parsed_ok"] = out["review_reason"].isNull()
+    out["confidence"] = F.when(out["review_reason"].isNotNull(), "low").otherwise(out["confidence"])
+    return out
 
 
 def severity(type_: Column, parsed_ok: Column, reason: Column) -> Column:
@@ -238,23 +264,19 @@ def parse(texts: DataFrame, purpose: str = "purpose", face_value: str = "face_va
     that it does not count twice. Texts without clauses give no rows.
     """
     cut = texts.withColumn("_clauses", split_clauses(F.coalesce(F.col(purpose), F.lit(""))))
-    each = cut.select("*", F.posexplode("_clauses").alias("component_ix", "raw_text"))
-    face = F.col(face_value).cast("decimal(24,8)")
-    typed = each.withColumn("_c", classify(F.col("raw_text"), face))
+    # outer, then filtered: for a plain explode the optimizer would compute the clauses twice to drop empty lists early
+    each = cut.select("*", F.posexplode_outer("_clauses").alias("component_ix", "raw_text")).filter("raw_text is not null")
+    each = each.withColumn("raw_text", unguarded(F.col("raw_text")))
     later = F.exists(
-        F.slice(F.col("_clauses"), 2, F.greatest(F.size("_clauses") - 1, F.lit(0))),
-        lambda clause: _has_amount(clause),
+        F.slice(F.col("_clauses"), 2, F.greatest(F.size("_clauses") - 1, F.lit(0))), lambda clause: _has_amount(unguarded(clause))
     )
     headline = (F.col("component_ix") == 0) & (F.size("_clauses") >= 2) & has(clean(F.col(purpose)), "headline")
-    neutral = _struct(Found("NO_ADJUST"))
-    typed = typed.withColumn("_c", F.when(F.coalesce(headline & later, F.lit(False)), neutral).otherwise(F.col("_c")))
-    return typed.select(
-        *texts.columns,
-        "component_ix",
-        "raw_text",
-        "_c.*",
-        severity(F.col("_c.type"), F.col("_c.parsed_ok"), F.col("_c.review_reason")).alias("severity"),
-    )
+    rule = F.when(F.coalesce(headline & later, F.lit(False)), NEUTRAL).otherwise(rule_of(F.col("raw_text")))
+    ruled = each.withColumn("_rule", rule).drop("_clauses")
+    fields = component(F.col("_rule"), F.col("raw_text"), F.col(face_value).cast("decimal(24,8)"))
+    order = ("type", "ratio_num", "ratio_den", "premium", "sub_price", "div_amount", "is_special", "parsed_ok", "confidence", "review_reason")
+    typed = ruled.select(*texts.columns, "component_ix", "raw_text", *[fields[c].alias(c) for c in order])
+    return typed.withColumn("severity", severity(F.col("type"), F.col("parsed_ok"), F.col("review_reason")))
 
 
 def _has_amount(clause: Column) -> Column:

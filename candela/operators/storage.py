@@ -26,6 +26,17 @@ def materialised(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan of few files for work that costs much more than a shuffle of its rows: dealt out to all cores.
+
+    A scan with at least as many partitions as the cluster has cores, as any
+    large one, stays as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    parts = scan._jdf.queryExecution().toRdd().getNumPartitions()
+    return scan if parts >= cores else scan.repartition(cores)
+
+
 def merged(old: DataFrame, new: DataFrame, keys: list[str], changed: Column | None = None) -> DataFrame:
     """The table after an upsert: new rows replace old ones of the same key, where ``changed`` holds; others stay.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from candela.functions import factors
 from candela.operators.asof import asof_before
+from candela.operators.storage import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,7 +98,7 @@ def purposes(spark: SparkSession, sf_dir: str) -> DataFrame:
     purpose = F.lit("Buy Back")
     for k in range(len(texts) - 1, -1, -1):
         purpose = F.when(key % 12 == k, texts[k]).otherwise(purpose)
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey"))
     return orders.select("o_orderkey", (1 + key % 10).alias("face_value"), (key % 12).alias("tmpl"), purpose.alias("purpose"))
 
 
