@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from candela.operators.storage import materialised, spread
+
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Texts are handed to numpy code in slices of about this many characters.
 SLICE_CHARS = 4_000_000
@@ -19,10 +20,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new path in the folder that the cluster shares; a temporary one where none is set, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"/tmp/candela-{spark.sparkContext.applicationId}"
-    return f"{base.rstrip('/')}/candela-{uuid.uuid4().hex}"
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same, dealt out to all cores if it has fewer partitions: for work that costs far more than a shuffle."""
+    return spread(table(spark, sf_dir, name))
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -31,13 +31,7 @@ def written(df: DataFrame) -> DataFrame:
     This cuts the lineage: executors that are lost later do not matter. The
     files go when the session's JVM ends.
     """
-    spark = df.sparkSession
-    path = shared_folder(spark)
-    df.write.parquet(path)
-    jvm = spark._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
+    return materialised(df)
 
 
 def remainder(doc_id: Column, n: int) -> Column:

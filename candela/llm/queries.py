@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candela.llm import bpe, context_mixing, html_text, langid, mixing, mpeg, parsing, secrets, sharding, simhash
-from candela.llm.common import table
+from candela.llm.common import spread_table, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,7 +29,7 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_text.extract_pages(table(spark, sf_dir, "pages"))
+    return html_text.extract_pages(spread_table(spark, sf_dir, "pages"))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,11 +37,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan_documents(table(spark, sf_dir, "documents"))
+    return secrets.scan_documents(spread_table(spark, sf_dir, "documents"))
 
 
 def op5_mpeg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mpeg.store_documents(table(spark, sf_dir, "documents"))
+    return mpeg.store_documents(spread_table(spark, sf_dir, "documents"))
 
 
 def op6_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,11 +49,11 @@ def op6_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.round_trip(table(spark, sf_dir, "documents"), *tokenizer())
+    return bpe.round_trip(spread_table(spark, sf_dir, "documents"), *tokenizer())
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread_table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.fit(docs, langid.training_rows()))
 
 

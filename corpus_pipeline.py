@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from candela.llm import bpe, langid, mixing, secrets, simhash
-from candela.llm.common import DOCUMENT_COLUMNS, shared_folder, table
+from candela.llm.common import DOCUMENT_COLUMNS, table
 from candela.llm.queries import MIX_ALPHA, tokenizer
+from candela.operators.storage import shared_folder
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
