@@ -54,8 +54,9 @@ def chk_stale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(L_ + """, days AS (SELECT trade_date, CAST(count(*) AS BIGINT) AS n FROM part_bars GROUP BY trade_date),
-before AS (SELECT n FROM days WHERE trade_date < DATE '1998-06-15' ORDER BY trade_date DESC LIMIT 20)
-SELECT n, round((n - (SELECT avg(n) FROM before)) / (SELECT stddev_samp(n) FROM before), 6) AS z, 'few rows' AS reason FROM days WHERE trade_date = DATE '1998-06-15' AND n < 1000""")
+before AS (SELECT n FROM days WHERE trade_date < DATE '1998-06-15' ORDER BY trade_date DESC LIMIT 20),
+today AS (SELECT CAST(count(*) AS BIGINT) AS n FROM part_bars WHERE trade_date = DATE '1998-06-15')
+SELECT n, round((n - (SELECT avg(n) FROM before)) / (SELECT stddev_samp(n) FROM before), 6) AS z, CASE WHEN n = 0 THEN 'no rows' ELSE 'few rows' END AS reason FROM today WHERE n < 1000""")
 def chk_rowcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One day's row count against the days before it."""
     counts = analogs.part_bars(spark, sf_dir).groupBy("trade_date").agg(F.count(F.lit(1)).alias("n"))
