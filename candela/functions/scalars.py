@@ -41,15 +41,18 @@ def circuit_flag(o: Column, h: Column, low: Column, c: Column, prev_close: Colum
     return F.coalesce(F.when(number.isNotNull() & (prev_close > 0), locked | (moved >= number - 0.05)).otherwise(locked), F.lit(False))
 
 
-# Series codes of debt instruments are one letter of these and a letter or digit.
-DEBT_FIRST = "NYZ"
+# Series codes of debt instruments, and those that are groups of their own.
+DEBT_SERIES = (
+    "GS GB TB SG N0 N1 N2 N3 N4 N5 N6 N7 N8 N9 NA NB NC ND NE NF NG NH NI NJ NK NL Y1 YA YB YC W1 W2 W3 AF AG AH AI AJ".split()
+)
+OWN_SERIES = "EQ BE BZ SM ST IV RR MF".split()
 
 
 def classify_series(series: Column) -> Column:
     """The group that a raw series code belongs to."""
     s = F.upper(F.trim(series))
-    named = F.when(s.isin("BT", "T2T"), "T2T").when(s.isin("EQ", "BE", "BZ", "SM", "ST", "IV", "RR", "MF"), s)
-    return F.coalesce(named, F.when(s.rlike(f"^[{DEBT_FIRST}][0-9A-Z]$"), "DEBT"), F.lit("OTHER"))
+    named = F.when(s.isin("BT", "T2T"), "T2T").when(s.isin(*OWN_SERIES), s)
+    return F.coalesce(named, F.when(s.isin(*DEBT_SERIES), "DEBT"), F.lit("OTHER"))
 
 
 def classify_isin(isin: Column) -> Column:
@@ -110,7 +113,7 @@ def payload_hash(isin: Column, ex_date: Column, purpose: Column, record_date: Co
 def api_date(c: Column) -> Column:
     """A date in one of the feed's four formats; marks for missing give NULL."""
     t = F.trim(c)
-    formats = ("d-MMM-yyyy", "yyyy-MM-dd", "d-MM-yyyy", "d/MM/yyyy")
+    formats = ("d-MMM-yyyy", "d-MMMM-yyyy", "yyyy-MM-dd", "d-MM-yyyy")
     return F.when(~F.upper(t).isin("", "-", "NA", "N/A"), F.coalesce(*[F.try_to_date(F.initcap(t), f) for f in formats]))
 
 

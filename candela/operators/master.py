@@ -11,7 +11,7 @@ from candela.schemas import STALE_DAYS
 
 
 def security_master(listed: DataFrame, bars: DataFrame, key: str, last_day: date | None) -> DataFrame:
-    """``key``, the listing's columns, first_seen, last_seen, status.
+    """``key``, the listing's columns, first_seen, last_seen, status, delisting_date.
 
     What is listed is active; else a key unseen for more than ninety days is
     delisted, one seen on the last day is active, others are suspended.
@@ -25,7 +25,8 @@ def security_master(listed: DataFrame, bars: DataFrame, key: str, last_day: date
         .when(F.col("last_seen") == edge, "active")
         .otherwise("suspended")
     )
-    return joined.withColumn("status", status).drop("_listed")
+    out = joined.withColumn("status", status).drop("_listed")
+    return out.withColumn("delisting_date", F.when(F.col("status") == "delisted", F.col("last_seen")))
 
 
 def symbol_history(bars: DataFrame, key: str, symbol: str) -> DataFrame:

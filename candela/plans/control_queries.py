@@ -505,7 +505,7 @@ md5(concat_ws('|', 'INE' || o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHA
 def src_actions_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed rows typed: dates of four formats, face values above 0, hashes of the raw strings."""
     key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
-    shapes = [F.date_format(day, f) for f in ("dd-MMM-yyyy", "yyyy-MM-dd", "dd-MM-yyyy", "dd/MM/yyyy")]
+    shapes = [F.date_format(day, f) for f in ("dd-MMM-yyyy", "yyyy-MM-dd", "dd-MM-yyyy", "dd-MMMM-yyyy")]
     text = F.when(key % 5 == 4, "-")
     for k, shape in enumerate(shapes):
         text = text.when(key % 5 == k, shape)

@@ -62,7 +62,7 @@ def once(raw: DataFrame) -> DataFrame:
 
 def mapped(raw: DataFrame) -> DataFrame:
     """Typed announcements; rows without a subject are left out."""
-    face = to_float(F.col("faceVal"))
+    face = to_float(F.replace(F.col("faceVal"), F.lit(","), F.lit("")))
     name = lambda c: F.upper(F.nullif(F.nullif(F.trim(c), F.lit("")), F.lit("-")))
     return raw.filter(F.coalesce(F.trim("subject"), F.lit("")) != "").select(
         "payload_hash",
@@ -92,9 +92,10 @@ def index_rows(spark: SparkSession, text: str) -> DataFrame:
 def reconciled(index_date: Column, requested: date) -> Column:
     """The row's date: day-first or month-first, whichever is the requested day; blank means the requested day."""
     day = F.lit(requested)
-    forms = [F.try_to_date(F.trim(index_date), f) for f in ("d-MM-yyyy", "MM-dd-yyyy")]
+    text = F.initcap(F.trim(index_date))
+    forms = [F.try_to_date(text, f) == day for f in ("d-MM-yyyy", "d-MMM-yyyy", "d/MM/yyyy", "M-dd-yyyy", "M/dd/yyyy")]
     blank = F.coalesce(F.trim(index_date), F.lit("")) == ""
-    return F.when(blank | (forms[0] == day) | (forms[1] == day), day)
+    return F.when(blank | F.greatest(*[F.coalesce(f, F.lit(False)) for f in forms]), day)
 
 
 def index_silver(rows: DataFrame, requested: date) -> DataFrame:
