@@ -15,11 +15,12 @@ links, not all pairs; reachability, hence components, stays the same.
 
 ``components`` links fingerprints of 64 bits at a small radius, as stated.
 That radius misses many texts of similarity 0.8, so ``keep_one`` uses 256 bits
-of five-word shingles, where a similarity of 0.8 means some 39 differing bits,
-unrelated texts differ in about 128, and the radius is 44. Its buckets come from
-random subsets of the bits; their size follows the number of fingerprints, and
-the number of subsets is what finds a pair of similarity 0.8 with a
-probability of 0.95 (0.9: over 0.99). Crowded buckets, which are mostly groups
+of five-word shingles, where a similarity of 0.8 means some 39 differing bits
+(standard deviation 6), unrelated texts differ in about 128, and the radius is
+64. Its buckets come from random subsets of the bits; their size follows the
+number of fingerprints, and the number of subsets is what finds a pair of
+similarity 0.8, over all distances it may have, with a probability of 0.99.
+Crowded buckets, which are mostly groups
 of near copies, are thinned by leaders: what is near a leader is linked to it,
 and compared only with what is not.
 
@@ -163,7 +164,7 @@ def _compare(fps, vertical, rows, words, low, high, radius):
 
 
 #: Rows from which a bucket is thinned by leaders, and leaders at most.
-CROWDED, LEADERS = 512, 64
+CROWDED, LEADERS = 1_024, 64
 
 
 def spanning(fps: np.ndarray, bucket: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -347,7 +348,7 @@ def components(docs: DataFrame, radius: int = 2, words: int = 3) -> DataFrame:
 
 
 #: Numbers of a wide fingerprint, its radius, words of its shingles; expected bucket size and chance to find a pair.
-WIDE, WIDE_RADIUS, WIDE_WORDS, BUCKET, FOUND = 4, 44, 5, 4, 0.95
+WIDE, WIDE_RADIUS, WIDE_WORDS, BUCKET, FOUND = 4, 64, 5, 256, 0.99
 #: Probability that a bit differs at a similarity of 0.8: the angle between the shingle vectors over pi.
 DIFFERS = math.acos(2 * 0.8 / 1.8) / math.pi
 
@@ -363,10 +364,20 @@ def wide_fingerprints(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), schema, work)
 
 
+def chances(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each distance within the radius: its probability at a similarity of 0.8; that a key of ``size`` bits agrees."""
+    bits, d = BITS * WIDE, range(WIDE_RADIUS + 1)
+    met = np.array([math.comb(bits, k) * DIFFERS**k * (1 - DIFFERS) ** (bits - k) for k in d])
+    return met, np.array([math.comb(bits - k, size) / math.comb(bits, size) for k in d])
+
+
 def subsets(n: int) -> np.ndarray:
-    """Bit places [table, place] of the bucket keys for n fingerprints."""
-    size = max(16, math.ceil(math.log2(max(2, n / BUCKET))))
-    tables = math.ceil(math.log(1 - FOUND) / math.log(1 - (1 - DIFFERS) ** size))
+    """Bit places [table, place] of the bucket keys for n fingerprints; radius and tables together reach FOUND."""
+    size = max(12, math.ceil(math.log2(max(2, n / BUCKET))))
+    met, agree = chances(size)
+    tables = 1
+    while (met * (1 - (1 - agree) ** tables)).sum() < FOUND:
+        tables += 1
     rng = np.random.default_rng(SEED)
     return np.array([rng.permutation(BITS * WIDE)[:size] for _ in range(tables)])
 

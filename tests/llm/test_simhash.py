@@ -119,3 +119,20 @@ def test_keep_one(spark, odd, none):
     ids = [r.doc_id for r in kept.collect()]
     assert len(ids) == len(set(ids)) and 55 not in ids
     assert simhash.keep_one(none).count() == simhash.components(none).count() == 0
+
+
+def test_wide_links_find_pairs_at_the_required_similarity(spark):
+    r = np.random.default_rng(6)
+    rows = []
+    for k in range(300):  # 361 words have 357 shingles; a change of 8 words far apart leaves 317 of 397: 0.798
+        base = [f"w{x}" for x in r.integers(0, 10**9, 361)]
+        other = list(base)
+        for place in range(20, 340, 40):
+            other[place] = f"z{k}"
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
+    prints = spark.createDataFrame([(k, simhash.fingerprint(t, 5, 4).tobytes()) for k, t in rows], "node bigint, fp binary")
+    roots = {x.node: x.root for x in simhash.label_components(simhash.wide_links(prints, 600)).collect()}
+    assert all(roots[k] // 2 == k // 2 for k in roots)
+    assert sum(2 * k + 1 in roots for k in range(300)) >= 0.98 * 300
+    places = [len(simhash.subsets(n)) for n in (10**5, 10**7)]
+    assert places[0] < places[1] < 120
