@@ -22,7 +22,9 @@ number of fingerprints, and the number of subsets is what finds a pair of
 similarity 0.8, over all distances it may have, with a probability of 0.99.
 Crowded buckets, which are mostly groups
 of near copies, are thinned by leaders: what is near a leader is linked to it,
-and compared only with what is not.
+and compared only with what is not. These links only propose: ``keep_one`` confirms
+each on the sets of distinct shingles, of which the wide fingerprints are made
+too, so that a repeated line counts once.
 
 Defined cases: null, empty and blank texts have fingerprint zero and are
 linked like any other; fewer words than a shingle make one shingle; copies
@@ -39,7 +41,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candela.llm.common import map_batches, written
@@ -57,21 +59,31 @@ def fingerprint(text: str | None, words: int = 3, width: int = 1) -> np.ndarray:
 
     Numbers after the first take their bits from hashes of these hashes.
     """
+    hashes = shingles(text, words)
+    return print_of(hashes, width)
+
+
+def shingles(text: str | None, words: int) -> np.ndarray:
+    """XXH64 of the text's word shingles, with repeats; a text of fewer words is one shingle, one without words none."""
     import xxhash
 
     tokens = (text or "").encode().lower().split()  # bytes: lower() and split() know ASCII only
     if not tokens:
-        return np.zeros(width, "uint64")
+        return np.zeros(0, "uint64")
     joined = b" ".join(tokens)
     if len(tokens) <= words:
-        hashes = np.array([xxhash.xxh64_intdigest(joined, SEED)], "uint64")
-    else:
-        sizes = np.fromiter(map(len, tokens), "int64", len(tokens))
-        ends = np.cumsum(sizes + 1) - 1
-        starts = (ends - sizes)[: len(tokens) - words + 1].tolist()
-        digest = xxhash.xxh64_intdigest
-        found = [digest(joined[a:b], SEED) for a, b in zip(starts, ends[words - 1 :].tolist(), strict=True)]
-        hashes = np.array(found, "uint64")
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], "uint64")
+    sizes = np.fromiter(map(len, tokens), "int64", len(tokens))
+    ends = np.cumsum(sizes + 1) - 1
+    starts = (ends - sizes)[: len(tokens) - words + 1].tolist()
+    digest = xxhash.xxh64_intdigest
+    found = [digest(joined[a:b], SEED) for a, b in zip(starts, ends[words - 1 :].tolist(), strict=True)]
+    return np.array(found, "uint64")
+
+
+def print_of(hashes: np.ndarray, width: int) -> np.ndarray:
+    if not len(hashes):
+        return np.zeros(width, "uint64")
     return np.array([_majority(hashes if k == 0 else _rehashed(hashes, k)) for k in range(width)], "uint64")
 
 
@@ -300,6 +312,17 @@ def _linked(sized: DataFrame, radius: int) -> DataFrame:
     return ordered.mapInArrow(run, "a bigint, b bigint")
 
 
+def contracted(edges: DataFrame) -> DataFrame:
+    """Links with the same components, of which each node that has only smaller neighbours keeps one.
+
+    ``edges`` has a > b. The smaller neighbours of a node are linked to the
+    least of them; a node has one in each table at most.
+    """
+    least = edges.groupBy("a").agg(F.collect_set("b").alias("all")).select("a", "all", F.array_min("all").alias("b"))
+    least = least.select(F.explode(F.array_union("all", F.array("a"))).alias("a"), "b")
+    return least.filter("a <> b").distinct()
+
+
 def label_components(edges: DataFrame) -> DataFrame:
     """node, root: every node of the links with one node that its whole component shares.
 
@@ -351,17 +374,34 @@ def components(docs: DataFrame, radius: int = 2, words: int = 3) -> DataFrame:
 WIDE, WIDE_RADIUS, WIDE_WORDS, BUCKET, FOUND = 4, 64, 5, 256, 0.99
 #: Probability that a bit differs at a similarity of 0.8: the angle between the shingle vectors over pi.
 DIFFERS = math.acos(2 * 0.8 / 1.8) / math.pi
+#: Sets of so many shingles are also found by what is left without one of them; members of a group that share a task.
+FEW, TOGETHER = 7, 256
+
+
+def wide_prints(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, node (hash of the set of shingles), fp (binary, 8 * WIDE bytes, of the set), few for every document.
 
+    ``few`` is for sets of ``FEW`` shingles at most: hashes of the set and of the
+    set without each one. Such sets of similarity 0.8 differ by one shingle at
+    most, so they share one of these, however their fingerprints differ.
+    """
+    import xxhash
 
-def wide_fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (binary, 8 * WIDE bytes) for every document."""
-    schema = docs.select("doc_id").schema.add("fp", "binary")
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash bigint, node bigint, fp binary, few array<bigint>"
+    name = lambda hashes: xxhash.xxh64_intdigest(hashes.tobytes(), SEED) - (1 << 63)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        made = [fingerprint(t, WIDE_WORDS, WIDE).tobytes() for t in batch.column(1).to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["doc_id", "fp"])
+        nodes, prints, few = [], [], []
+        for text in batch.column(2).to_pylist():
+            hashes = np.unique(shingles(text, WIDE_WORDS))
+            nodes.append(name(hashes))
+            prints.append(print_of(hashes, WIDE).tobytes())
+            small = 0 < len(hashes) <= FEW
+            few.append([nodes[-1], *[name(np.delete(hashes, k)) for k in range(len(hashes))]] if small else None)
+        arrays = [batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(prints, pa.binary())]
+        return pa.RecordBatch.from_arrays([*arrays, pa.array(few, pa.list_(pa.int64()))], ["doc_id", "text_hash", "node", "fp", "few"])
 
-    return map_batches(docs.select("doc_id", "text"), schema, work)
+    return map_batches(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), schema, work)
 
 
 def chances(size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -382,43 +422,144 @@ def subsets(n: int) -> np.ndarray:
     return np.array([rng.permutation(BITS * WIDE)[:size] for _ in range(tables)])
 
 
-def wide_links(classes: DataFrame, n: int) -> DataFrame:
-    """Links a, b between nodes (xxhash64 of fp) of near wide fingerprints; classes has node and fp."""
+def wide_links(classes: DataFrame, n: int, every: bool = False) -> DataFrame:
+    """Links a, b between nodes of near wide fingerprints; classes has node, fp and maybe few.
+
+    Links span the components; with ``every``, they are all pairs whose labels
+    (a column of classes) differ.
+    """
     places = subsets(n)
     weights = np.uint64(1) << np.arange(places.shape[1], dtype="uint64")
+    masks = np.zeros((len(places), BITS * WIDE), "uint8")
+    np.put_along_axis(masks, places, 1, axis=1)
+    masks = np.packbits(masks, axis=1, bitorder="little").view("uint64")
+    names = ["table", "key", "node", "label", *[f"f{k}" for k in range(WIDE)]]
+    label = F.col("label" if every else "node").alias("label")
+
+    def rows_of(table: np.ndarray, keys: np.ndarray, batch: pa.RecordBatch, raw: bytes, times: int) -> pa.RecordBatch:
+        numbers = np.frombuffer(raw, "int64").reshape(-1, WIDE)
+        columns = [table, keys, *[np.tile(np.asarray(batch.column(k)), times) for k in (0, 1)]]
+        columns += [np.tile(numbers[:, k], times) for k in range(WIDE)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 2_000):
                 batch = whole.slice(at, 2_000)
-                raw = b"".join(batch.column(1).to_pylist())
+                raw = b"".join(batch.column(2).to_pylist())
                 bits = np.unpackbits(np.frombuffer(raw, "uint8").reshape(-1, 8 * WIDE), axis=1, bitorder="little")
                 keys = [(bits[:, p].astype("uint64") * weights).sum(axis=1).view("int64") for p in places]
-                table = np.repeat(np.arange(len(places)), len(bits))
-                numbers = np.frombuffer(raw, "int64").reshape(-1, WIDE)
-                columns = [table, np.concatenate(keys), np.tile(np.asarray(batch.column(0)), len(places))]
-                columns += [np.tile(numbers[:, k], len(places)) for k in range(WIDE)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+                yield rows_of(np.repeat(np.arange(len(places)), len(bits)), np.concatenate(keys), batch, raw, len(places))
+
+    def deal_few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = b"".join(batch.column(2).to_pylist())
+            yield rows_of(np.full(batch.num_rows, -1), np.asarray(batch.column(3)), batch, raw, 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_buckets((np.column_stack([np.asarray(c) for c in b.columns]) for b in batches), 2):
             bucket = bucket_numbers(rows, 2)
             rows = rows[np.bincount(bucket)[bucket] > 1]
-            if len(rows):
-                fps = np.ascontiguousarray(rows[:, 3:]).view("uint64")
+            if not len(rows):
+                continue
+            fps = np.ascontiguousarray(rows[:, 4:]).view("uint64")
+            if not every:
                 i, j = spanning(fps, bucket_numbers(rows, 2), WIDE_RADIUS)
                 yield linked(*forest(rows[:, 2], i, j))
-
-    names = ["table", "key", "node", *[f"f{k}" for k in range(WIDE)]]
-    dealt = classes.select("node", "fp").mapInArrow(deal, ", ".join(f"{c} bigint" for c in names))
+                continue
+            i, j = close_pairs(fps, bucket_numbers(rows, 2), WIDE_RADIUS)
+            new = rows[i, 3] != rows[j, 3]
+            i, j = i[new], j[new]
+            differ = fps[i] ^ fps[j]
+            new = np.ones(len(i), bool)
+            for table in range(len(masks)):  # a pair counts in the first table that it shares
+                new &= (rows[i, 0] <= table) | (differ & masks[table]).any(axis=1)
+            a, b = rows[i[new], 2], rows[j[new], 2]
+            yield linked(np.minimum(a, b), np.maximum(a, b))
+
+    schema = ", ".join(f"{c} bigint" for c in names)
+    dealt = classes.select("node", label, "fp").mapInArrow(deal, schema)
+    if "few" in classes.columns:
+        few = classes.filter("few is not null").select("node", label, "fp", F.explode("few").alias("key"))
+        dealt = dealt.unionByName(few.mapInArrow(deal_few, schema))
     return dealt.repartition("table", "key").sortWithinPartitions("table", "key", "node").mapInArrow(run, "a bigint, b bigint")
 
 
+def text_key() -> list[Column]:
+    """What tells rows apart, up to copies of id and text; docs has text_hash."""
+    return [F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("text_hash")]
+
+
+def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, hashes (binary): the sorted shingle set of each node; nodes has node and first, the key of a row that has it."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        made = [np.unique(shingles(t, WIDE_WORDS)).tobytes() for t in batch.column(1).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["node", "hashes"])
+
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).select(*text_key(), "text")
+    found = keyed.join(nodes.select("node", "first.*"), ["none", "id", "text_hash"]).select("node", "text")
+    return map_batches(found, "node bigint, hashes binary", work).dropDuplicates(["node"])
+
+
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b, same: whether the shingle sets of each pair have a similarity of 0.8 or more."""
+    # a hot node's set is repeated, for each TOGETHER of its pairs
+    hot = pairs.groupBy("a").agg((F.count(F.lit(1)) / TOGETHER).cast("bigint").alias("more")).filter("more > 0")
+    hot = written(hot)
+    more = F.coalesce("more", F.lit(0))
+    dealt = pairs.join(hot, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), more + 1).alias("part"))
+    left = sets.withColumnRenamed("node", "a").join(hot, "a", "left")
+    left = left.select("a", F.explode(F.sequence(F.lit(0).cast("bigint"), more)).alias("part"), F.col("hashes").alias("left"))
+    right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("right"))
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        same = []
+        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            x, y = np.frombuffer(x, "uint64"), np.frombuffer(y, "uint64")
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            same.append(5 * both >= 4 * (len(x) + len(y) - both))
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.bool_())], ["a", "b", "same"])
+
+    whole = dealt.join(left, ["a", "part"]).join(right, "b").select("a", "b", "left", "right")
+    return written(map_batches(whole, "a bigint, b bigint, same boolean", work))
+
+
+def wide_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """node, root: components of nodes that links of similarity 0.8 or more join; classes has node, fp, few, first.
+
+    Fingerprints propose; shingle sets decide. Near fingerprints form components
+    first. All nodes of one are compared with its least node; where all are
+    similar to it, that is all. In the others, all pairs of near fingerprints
+    that are not linked yet are compared.
+    """
+    n = classes.count()
+    stars = written(label_components(contracted(wide_links(classes, n))))
+    nodes = stars.select("node").unionByName(stars.select(F.col("root").alias("node"))).distinct()
+    sets = written(shingle_sets(docs, classes.join(nodes, "node").select("node", "first")))
+    checked = compared(stars.select(F.col("root").alias("a"), F.col("node").alias("b")), sets)
+    links = checked.filter("same").select("a", "b")
+    mixed = checked.filter("not same").select("a").distinct()
+    if not mixed.isEmpty():
+        labels = checked.join(mixed, "a", "left_semi").select(F.col("b").alias("node"), F.when(F.col("same"), F.col("a")).otherwise(F.col("b")).alias("label"))
+        labels = labels.unionByName(mixed.select(F.col("a").alias("node"), F.col("a").alias("label")))
+        pairs = written(wide_links(written(classes.join(labels, "node")), n, every=True).distinct())
+        links = links.unionByName(compared(pairs, sets).filter("same").select("a", "b"))
+    return label_components(links)
+
+
+def wide_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The documents' prints; of each node its print and the first row that has it, null ids last."""
+    prints = written(wide_prints(docs))
+    first = F.min(F.struct(*text_key())).alias("first")
+    return prints, written(prints.groupBy("node").agg(F.first("fp").alias("fp"), F.first("few").alias("few"), first))
+
+
 def wide_labelled(docs: DataFrame) -> DataFrame:
-    """doc_id, component_id for every document, by wide fingerprints."""
-    prints = written(wide_fingerprints(docs).withColumn("node", F.xxhash64("fp")))
-    classes = written(prints.groupBy("node").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("least")))
-    return _named(prints, classes, label_components(wide_links(classes, classes.count())), "node").select("doc_id", "component_id")
+    """doc_id, component_id for every document, by wide fingerprints and shingle sets."""
+    prints, classes = wide_classes(docs)
+    least = prints.groupBy("node").agg(F.min("doc_id").alias("least"))
+    return _named(prints, classes.join(least, "node"), wide_components(docs, classes), "node").select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -136,3 +136,32 @@ def test_wide_links_find_pairs_at_the_required_similarity(spark):
     assert sum(2 * k + 1 in roots for k in range(300)) >= 0.98 * 300
     places = [len(simhash.subsets(n)) for n in (10**5, 10**7)]
     assert places[0] < places[1] < 120
+
+
+def words(r, n):
+    return [f"w{x}" for x in r.integers(0, 10**9, n)]
+
+
+def test_near_fingerprints_are_confirmed_on_sets(spark):
+    r = np.random.default_rng(7)
+    line = words(r, 12)
+    rows = [" ".join(line * 40 + words(r, 100)) for _ in range(10)]  # a repeated line, different bodies
+    base = words(r, 400)
+    for k in range(20):  # of similarity 0.7 to the base, less to one another
+        near = list(base)
+        for place in range(k, 396, 28):
+            near[place] = f"z{k}"
+        rows.append(" ".join(near))
+    rows += [" ".join(base[:200] + [f"y{k}"] + base[201:]) for k in range(5)]  # of similarity 0.97: one remains
+    few = words(r, 9)
+    rows += [" ".join(few), " ".join(few[:8])]  # 5 and 4 shingles: 0.8
+    sets = [set(simhash.shingles(t, 5).tolist()) for t in rows]
+    root = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                root = [root[b] if x == root[a] else x for x in root]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    expected = sorted({x: k for k, x in reversed(list(enumerate(root)))}.values())
+    assert sorted(x.doc_id for x in simhash.keep_one(docs).collect()) == expected
+    assert len(expected) == 10 + 20 + 1 + 1
