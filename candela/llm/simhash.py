@@ -555,18 +555,16 @@ def wide_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return prints, written(prints.groupBy("node").agg(F.first("fp").alias("fp"), F.first("few").alias("few"), first))
 
 
-def wide_labelled(docs: DataFrame) -> DataFrame:
-    """doc_id, component_id for every document, by wide fingerprints and shingle sets."""
-    prints, classes = wide_classes(docs)
-    least = prints.groupBy("node").agg(F.min("doc_id").alias("least"))
-    return _named(prints, classes.join(least, "node"), wide_components(docs, classes), "node").select("doc_id", "component_id")
-
-
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest doc_id; of rows that share this id, one by order of text."""
+    """Of each group of near duplicates one row: by order of doc_id (nulls last), text hash and text."""
     names = docs.columns
-    key = [F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none")]
-    kept = wide_labelled(docs).filter("doc_id <=> component_id").select(*key).distinct()
-    found = docs.select("*", *key).join(kept, ["_id", "_none"], "left_semi")
-    first = Window.partitionBy("_id", "_none").orderBy(F.xxhash64("text"), "text")
+    _, classes = wide_classes(docs)
+    roots = wide_components(docs, classes)
+    named = classes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "first")
+    kept = named.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    key = ["_none", "_id", "_hash"]
+    hashed = docs.withColumn("_hash", F.xxhash64("text"))
+    keyed = hashed.select("*", F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", F.lit(0)).alias("_id"))
+    found = keyed.join(kept.toDF(*key), key, "left_semi")
+    first = Window.partitionBy(*key).orderBy("text")  # what is left are copies of id and text
     return found.withColumn("_row", F.row_number().over(first)).filter("_row = 1").select(*names)

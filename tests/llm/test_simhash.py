@@ -165,3 +165,13 @@ def test_near_fingerprints_are_confirmed_on_sets(spark):
     expected = sorted({x: k for k, x in reversed(list(enumerate(root)))}.values())
     assert sorted(x.doc_id for x in simhash.keep_one(docs).collect()) == expected
     assert len(expected) == 10 + 20 + 1 + 1
+
+
+def test_one_row_remains_of_each_component_whatever_the_ids(spark):
+    r = np.random.default_rng(8)
+    texts = [" ".join(words(r, 60)) for _ in range(12)]
+    rows = [(None, t) for t in texts[:5]] + [(1, t) for t in texts[5:9]] + [(2, texts[5]), (1, texts[9]), (0, texts[9]), (None, texts[9]), (None, texts[0])]
+    rows += [(3, texts[10]), (3, texts[11]), (3, texts[11])]
+    kept = sorted((x.doc_id is None, x.doc_id or 0, x.text) for x in simhash.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    expected = [(True, 0, t) for t in texts[:5]] + [(False, 1, t) for t in texts[5:9]]
+    assert kept == sorted([*expected, (False, 0, texts[9]), (False, 3, texts[10]), (False, 3, texts[11])])
