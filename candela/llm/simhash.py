@@ -316,7 +316,7 @@ def contracted(edges: DataFrame) -> DataFrame:
     """Links with the same components, of which each node that has only smaller neighbours keeps one.
 
     ``edges`` has a > b. The smaller neighbours of a node are linked to the
-    least of them; a node has one in each table at most.
+    least of them.
     """
     least = edges.groupBy("a").agg(F.collect_set("b").alias("all")).select("a", "all", F.array_min("all").alias("b"))
     least = least.select(F.explode(F.array_union("all", F.array("a"))).alias("a"), "b")
@@ -374,8 +374,9 @@ def components(docs: DataFrame, radius: int = 2, words: int = 3) -> DataFrame:
 WIDE, WIDE_RADIUS, WIDE_WORDS, BUCKET, FOUND = 4, 64, 5, 256, 0.99
 #: Probability that a bit differs at a similarity of 0.8: the angle between the shingle vectors over pi.
 DIFFERS = math.acos(2 * 0.8 / 1.8) / math.pi
-#: Sets of so many shingles are also found by what is left without one of them; members of a group that share a task.
-FEW, TOGETHER = 7, 256
+#: Sets of so many shingles are also found by what is left without one of them; members of a group
+#: that share a task; pairs of a bucket that are looked at in one step.
+FEW, TOGETHER, PAIRS = 7, 256, 1 << 17
 
 
 def wide_prints(docs: DataFrame) -> DataFrame:
@@ -467,15 +468,19 @@ def wide_links(classes: DataFrame, n: int, every: bool = False) -> DataFrame:
                 i, j = spanning(fps, bucket_numbers(rows, 2), WIDE_RADIUS)
                 yield linked(*forest(rows[:, 2], i, j))
                 continue
-            i, j = close_pairs(fps, bucket_numbers(rows, 2), WIDE_RADIUS)
-            new = rows[i, 3] != rows[j, 3]
-            i, j = i[new], j[new]
-            differ = fps[i] ^ fps[j]
-            new = np.ones(len(i), bool)
-            for table in range(len(masks)):  # a pair counts in the first table that it shares
-                new &= (rows[i, 0] <= table) | (differ & masks[table]).any(axis=1)
-            a, b = rows[i[new], 2], rows[j[new], 2]
-            yield linked(np.minimum(a, b), np.maximum(a, b))
+            bucket, vertical = bucket_numbers(rows, 2), planes(fps)
+            ends = np.searchsorted(bucket, bucket, "right")
+            at, blocks = np.arange(len(rows)), np.cumsum(ends - np.arange(len(rows))) // PAIRS
+            for block in np.split(at, np.flatnonzero(np.diff(blocks)) + 1):
+                i, j = _pairs(fps, vertical, block, block + 1, ends[block], WIDE_RADIUS)
+                new = rows[i, 3] != rows[j, 3]
+                i, j = i[new], j[new]
+                differ = fps[i] ^ fps[j]
+                new = np.ones(len(i), bool)
+                for table in range(len(masks)):  # a pair counts in the first table that it shares
+                    new &= (rows[i, 0] <= table) | (differ & masks[table]).any(axis=1)
+                a, b = rows[i[new], 2], rows[j[new], 2]
+                yield linked(np.minimum(a, b), np.maximum(a, b))
 
     schema = ", ".join(f"{c} bigint" for c in names)
     dealt = classes.select("node", label, "fp").mapInArrow(deal, schema)
@@ -545,7 +550,7 @@ def wide_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
         labels = labels.unionByName(mixed.select(F.col("a").alias("node"), F.col("a").alias("label")))
         pairs = written(wide_links(written(classes.join(labels, "node")), n, every=True).distinct())
         links = links.unionByName(compared(pairs, sets).filter("same").select("a", "b"))
-    return label_components(links)
+    return label_components(contracted(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
 
 
 def wide_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
