@@ -13,7 +13,7 @@ from candela.operators.storage import materialised, spread
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Texts are handed to numpy code in slices of about this many characters.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,17 @@ def written(df: DataFrame) -> DataFrame:
     return materialised(df)
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, with underscores in front until none is among the columns, in either case."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def remainder(doc_id: Column, n: int) -> Column:
     """crc32 of doc_id as text, modulo n; a null id counts as remainder 0."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(n)), F.lit(0))
@@ -56,7 +67,29 @@ def map_batches(
                 if (out := work(part)) is not None:
                     yield out
 
-    return df.mapInArrow(run, schema)
+    return arrow(df, run, schema)
+
+
+def arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType | str) -> DataFrame:
+    """mapInArrow whose workers, which Spark keeps for later tasks, give free memory back when a task ends."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(whole, schema)
+
+
+def give_back() -> None:
+    """Hands memory that this process has freed back to the operating system, where the C library can."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def slices(batch: pa.RecordBatch, most: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:

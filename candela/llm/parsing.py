@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.common import slices
+from candela.llm.common import arrow, slices
 
 BINS = 64
 LEVELS = 2
@@ -149,7 +149,7 @@ def with_next(docs: DataFrame) -> DataFrame:
             heads = order[np.concatenate([[True], np.diff(part[order]) > 0])] if len(key) else order
             yield pa.RecordBatch.from_arrays([pa.array(part[heads]), pa.array(key[heads])], ["part", "key"])
 
-    found = keys.mapInArrow(first_keys, "part bigint, key bigint").groupBy("part").agg(F.min("key").alias("key")).collect()
+    found = arrow(keys, first_keys, "part bigint, key bigint").groupBy("part").agg(F.min("key").alias("key")).collect()
     found = sorted((r["part"], r["key"]) for r in found)
     # the first key of each part, and the part before it (the last, for the first)
     before = {key: found[k - 1][0] for k, (_, key) in enumerate(found)}
@@ -170,7 +170,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     schema = ", ".join(
         ["part bigint", "extra boolean", "key bigint", f"doc_id {docs.schema['doc_id'].dataType.simpleString()}", "text string"]
     )
-    dealt = wide.mapInArrow(deal, schema).repartition("part")
+    dealt = arrow(wide, deal, schema).repartition("part")
     return dealt.sortWithinPartitions("part", "extra", "key", "text").select("part", "extra", "doc_id", "text")
 
 
@@ -211,4 +211,4 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
                 arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(own)), *arrays], ["doc_id", *fields])
 
-    return with_next(docs).mapInArrow(run, schema)
+    return arrow(with_next(docs), run, schema)

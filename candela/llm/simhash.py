@@ -17,14 +17,16 @@ links, not all pairs; reachability, hence components, stays the same.
 That radius misses many texts of similarity 0.8, so ``keep_one`` uses 256 bits
 of five-word shingles, where a similarity of 0.8 means some 39 differing bits
 (standard deviation 6), unrelated texts differ in about 128, and the radius is
-64. Its buckets come from random subsets of the bits; their size follows the
-number of fingerprints, and the number of subsets is what finds a pair of
-similarity 0.8, over all distances it may have, with a probability of 0.99.
-Crowded buckets, which are mostly groups
-of near copies, are thinned by leaders: what is near a leader is linked to it,
-and compared only with what is not. These links only propose: ``keep_one`` confirms
-each on the sets of distinct shingles, of which the wide fingerprints are made
-too, so that a repeated line counts once.
+64. Its buckets come from random subsets of ``KEY_BITS`` bits. Their number is
+the same for any input: as many as find a pair of similarity 0.8, over all
+distances it may have, with a probability of ``FOUND``. A bucket with more than
+``MOST`` fingerprints is split: what is near its least node is linked to that;
+the others, which are few in a group of near copies, are compared with all of
+the bucket, under keys of further bits and in blocks of bounded size. These
+links only propose: ``keep_one`` confirms each on the sets of distinct
+shingles, of which the wide fingerprints are made too, so that a repeated line
+counts once. A proposed group is compared with its least node; members that are
+not similar to it are compared with all of the group, again in blocks.
 
 Defined cases: null, empty and blank texts have fingerprint zero and are
 linked like any other; fewer words than a shingle make one shingle; copies
@@ -44,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candela.llm.common import map_batches, written
+from candela.llm.common import arrow, map_batches, unused, written
 
 BITS = 64
 SEED = 42
@@ -309,15 +311,15 @@ def _linked(sized: DataFrame, radius: int) -> DataFrame:
             yield linked(*forest(rows[:, 2], i, j))
 
     ordered = sized.select("mask", "key", "fp").repartition("mask", "key").sortWithinPartitions("mask", "key", "fp")
-    return ordered.mapInArrow(run, "a bigint, b bigint")
+    return arrow(ordered, run, "a bigint, b bigint")
 
 
 def contracted(edges: DataFrame) -> DataFrame:
     """Links with the same components, of which each node that has only smaller neighbours keeps one.
 
-    ``edges`` has a > b. The smaller neighbours of a node are linked to the
-    least of them.
+    The smaller neighbours of a node are linked to the least of them.
     """
+    edges = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = edges.groupBy("a").agg(F.collect_set("b").alias("all")).select("a", "all", F.array_min("all").alias("b"))
     least = least.select(F.explode(F.array_union("all", F.array("a"))).alias("a"), "b")
     return least.filter("a <> b").distinct()
@@ -370,17 +372,21 @@ def components(docs: DataFrame, radius: int = 2, words: int = 3) -> DataFrame:
     )
 
 
-#: Numbers of a wide fingerprint, its radius, words of its shingles; expected bucket size and chance to find a pair.
-WIDE, WIDE_RADIUS, WIDE_WORDS, BUCKET, FOUND = 4, 64, 5, 256, 0.99
+#: Numbers of a wide fingerprint, its radius and the words of its shingles; bits of a bucket key and the chance
+#: that the keys find a pair; the same for the keys that cut a crowded bucket.
+WIDE, WIDE_RADIUS, WIDE_WORDS = 4, 64, 5
+KEY_BITS, FOUND = 16, 0.95
+CUT_BITS, CUT_FOUND = 8, 0.99
 #: Probability that a bit differs at a similarity of 0.8: the angle between the shingle vectors over pi.
 DIFFERS = math.acos(2 * 0.8 / 1.8) / math.pi
-#: Sets of so many shingles are also found by what is left without one of them; members of a group
-#: that share a task; pairs of a bucket that are looked at in one step.
-FEW, TOGETHER, PAIRS = 7, 256, 1 << 17
+#: Sets of so many shingles are also found by what is left without one of them; pairs that a hot node's set
+#: shares; sets of a block, and their bytes.
+FEW, TOGETHER, BLOCK, BLOCK_BYTES = 7, 256, 256, 16 << 20
+NUMBERS = [f"f{k}" for k in range(WIDE)]
 
 
 def wide_prints(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, node (hash of the set of shingles), fp (binary, 8 * WIDE bytes, of the set), few for every document.
+    """doc_id, text_hash, node (hash of the set of shingles), the print's numbers and few for every document.
 
     ``few`` is for sets of ``FEW`` shingles at most: hashes of the set and of the
     set without each one. Such sets of similarity 0.8 differ by one shingle at
@@ -388,7 +394,9 @@ def wide_prints(docs: DataFrame) -> DataFrame:
     """
     import xxhash
 
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash bigint, node bigint, fp binary, few array<bigint>"
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    numbers = ", ".join(f"{c} bigint" for c in NUMBERS)
+    schema = f"doc_id {kind}, text_hash bigint, node bigint, {numbers}, few array<bigint>"
     name = lambda hashes: xxhash.xxh64_intdigest(hashes.tobytes(), SEED) - (1 << 63)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -396,98 +404,126 @@ def wide_prints(docs: DataFrame) -> DataFrame:
         for text in batch.column(2).to_pylist():
             hashes = np.unique(shingles(text, WIDE_WORDS))
             nodes.append(name(hashes))
-            prints.append(print_of(hashes, WIDE).tobytes())
+            prints.append(print_of(hashes, WIDE))
             small = 0 < len(hashes) <= FEW
             few.append([nodes[-1], *[name(np.delete(hashes, k)) for k in range(len(hashes))]] if small else None)
-        arrays = [batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(prints, pa.binary())]
-        return pa.RecordBatch.from_arrays([*arrays, pa.array(few, pa.list_(pa.int64()))], ["doc_id", "text_hash", "node", "fp", "few"])
+        arrays = [batch.column(0), batch.column(1), pa.array(nodes, pa.int64())]
+        arrays += [pa.array(column.view("int64")) for column in np.ascontiguousarray(np.array(prints).T)]
+        return pa.RecordBatch.from_arrays([*arrays, pa.array(few, pa.list_(pa.int64()))], ["doc_id", "text_hash", "node", *NUMBERS, "few"])
 
     return map_batches(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), schema, work)
 
 
-def chances(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each distance within the radius: its probability at a similarity of 0.8; that a key of ``size`` bits agrees."""
+def key_masks(size: int, found: float) -> np.ndarray:
+    """Masks [table, number] of bucket keys: as many random sets of ``size`` bits as find a pair with the given chance.
+
+    The chance is over all distances within the radius that a pair of
+    similarity 0.8 may have. The number of documents plays no part.
+    """
     bits, d = BITS * WIDE, range(WIDE_RADIUS + 1)
     met = np.array([math.comb(bits, k) * DIFFERS**k * (1 - DIFFERS) ** (bits - k) for k in d])
-    return met, np.array([math.comb(bits - k, size) / math.comb(bits, size) for k in d])
-
-
-def subsets(n: int) -> np.ndarray:
-    """Bit places [table, place] of the bucket keys for n fingerprints; radius and tables together reach FOUND."""
-    size = max(12, math.ceil(math.log2(max(2, n / BUCKET))))
-    met, agree = chances(size)
+    agree = np.array([math.comb(bits - k, size) / math.comb(bits, size) for k in d])
     tables = 1
-    while (met * (1 - (1 - agree) ** tables)).sum() < FOUND:
+    while (met * (1 - (1 - agree) ** tables)).sum() < found:
         tables += 1
-    rng = np.random.default_rng(SEED)
-    return np.array([rng.permutation(BITS * WIDE)[:size] for _ in range(tables)])
+    rng = np.random.default_rng(SEED + size)
+    chosen = np.zeros((tables, bits), "uint8")
+    for table in chosen:
+        table[rng.permutation(bits)[:size]] = 1
+    return np.packbits(chosen, axis=1, bitorder="little").view("int64")
 
 
-def wide_links(classes: DataFrame, n: int, every: bool = False) -> DataFrame:
-    """Links a, b between nodes of near wide fingerprints; classes has node, fp and maybe few.
+def bucketed(rows: DataFrame, size: int, found: float, *also: str) -> DataFrame:
+    """Each row once for each table, with its bucket there; buckets also differ by the columns ``also``."""
+    tables = [[t, *mask] for t, mask in enumerate(key_masks(size, found).tolist())]
+    masks = F.array(*[F.array(*[F.lit(x).cast("bigint") for x in table]) for table in tables])
+    key = lambda m: F.xxhash64(*also, m[0], *[F.col(c).bitwiseAND(m[k + 1]) for k, c in enumerate(NUMBERS)])
+    return rows.select("*", F.explode(F.transform(masks, key)).alias("bucket"))
 
-    Links span the components; with ``every``, they are all pairs whose labels
-    (a column of classes) differ.
-    """
-    places = subsets(n)
-    weights = np.uint64(1) << np.arange(places.shape[1], dtype="uint64")
-    masks = np.zeros((len(places), BITS * WIDE), "uint8")
-    np.put_along_axis(masks, places, 1, axis=1)
-    masks = np.packbits(masks, axis=1, bitorder="little").view("uint64")
-    names = ["table", "key", "node", "label", *[f"f{k}" for k in range(WIDE)]]
-    label = F.col("label" if every else "node").alias("label")
-
-    def rows_of(table: np.ndarray, keys: np.ndarray, batch: pa.RecordBatch, raw: bytes, times: int) -> pa.RecordBatch:
-        numbers = np.frombuffer(raw, "int64").reshape(-1, WIDE)
-        columns = [table, keys, *[np.tile(np.asarray(batch.column(k)), times) for k in (0, 1)]]
-        columns += [np.tile(numbers[:, k], times) for k in range(WIDE)]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 2_000):
-                batch = whole.slice(at, 2_000)
-                raw = b"".join(batch.column(2).to_pylist())
-                bits = np.unpackbits(np.frombuffer(raw, "uint8").reshape(-1, 8 * WIDE), axis=1, bitorder="little")
-                keys = [(bits[:, p].astype("uint64") * weights).sum(axis=1).view("int64") for p in places]
-                yield rows_of(np.repeat(np.arange(len(places)), len(bits)), np.concatenate(keys), batch, raw, len(places))
-
-    def deal_few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw = b"".join(batch.column(2).to_pylist())
-            yield rows_of(np.full(batch.num_rows, -1), np.asarray(batch.column(3)), batch, raw, 1)
 
+def _within_buckets(dealt: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in whole_buckets((np.column_stack([np.asarray(c) for c in b.columns]) for b in batches), 2):
-            bucket = bucket_numbers(rows, 2)
+        for rows in whole_buckets((np.column_stack([np.asarray(c) for c in b.columns]) for b in batches), 1):
+            bucket = bucket_numbers(rows, 1)
             rows = rows[np.bincount(bucket)[bucket] > 1]
-            if not len(rows):
-                continue
-            fps = np.ascontiguousarray(rows[:, 4:]).view("uint64")
-            if not every:
-                i, j = spanning(fps, bucket_numbers(rows, 2), WIDE_RADIUS)
-                yield linked(*forest(rows[:, 2], i, j))
-                continue
-            bucket, vertical = bucket_numbers(rows, 2), planes(fps)
-            ends = np.searchsorted(bucket, bucket, "right")
-            at, blocks = np.arange(len(rows)), np.cumsum(ends - np.arange(len(rows))) // PAIRS
-            for block in np.split(at, np.flatnonzero(np.diff(blocks)) + 1):
-                i, j = _pairs(fps, vertical, block, block + 1, ends[block], WIDE_RADIUS)
-                new = rows[i, 3] != rows[j, 3]
-                i, j = i[new], j[new]
-                differ = fps[i] ^ fps[j]
-                new = np.ones(len(i), bool)
-                for table in range(len(masks)):  # a pair counts in the first table that it shares
-                    new &= (rows[i, 0] <= table) | (differ & masks[table]).any(axis=1)
-                a, b = rows[i[new], 2], rows[j[new], 2]
-                yield linked(np.minimum(a, b), np.maximum(a, b))
-
-    schema = ", ".join(f"{c} bigint" for c in names)
-    dealt = classes.select("node", label, "fp").mapInArrow(deal, schema)
-    if "few" in classes.columns:
-        few = classes.filter("few is not null").select("node", label, "fp", F.explode("few").alias("key"))
-        dealt = dealt.unionByName(few.mapInArrow(deal_few, schema))
-    return dealt.repartition("table", "key").sortWithinPartitions("table", "key", "node").mapInArrow(run, "a bigint, b bigint")
+            if len(rows):
+                fps = np.ascontiguousarray(rows[:, 2:]).view("uint64")
+                yield linked(*forest(rows[:, 1], *spanning(fps, bucket_numbers(rows, 1), WIDE_RADIUS)))
+
+    ordered = dealt.select("bucket", "node", *NUMBERS).repartition("bucket").sortWithinPartitions("bucket", "node")
+    return arrow(ordered, run, "a bigint, b bigint")
+
+
+def in_blocks(members: DataFrame, sizes: DataFrame, payload: list[str]) -> DataFrame:
+    """Rows for comparing a group's open members with all of it: group, i, j, side, node and the payload, dealt by block.
+
+    ``members`` has group, node, open; ``sizes`` has group, n_left and n_right,
+    the numbers of blocks of the open members (side 0) and of all (side 1).
+    Every pair of blocks meets under its (group, i, j).
+    """
+    joined = members.join(sizes, "group")
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    own = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n))
+    left = joined.filter("open").select("group", own("n_left", 1).alias("i"), each("n_right").alias("j"), F.lit(0).cast("bigint").alias("side"), "node", *payload)
+    right = joined.select("group", each("n_left").alias("i"), own("n_right", 2).alias("j"), F.lit(1).cast("bigint").alias("side"), "node", *payload)
+    return left.unionByName(right).repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "side", "node")
+
+
+def _split_buckets(crowd: DataFrame, most: int) -> DataFrame:
+    """Links within crowded buckets, no one of which is held by one task; crowd has bucket, node and numbers."""
+    first = crowd.groupBy("bucket").agg(F.min(F.struct("node", *NUMBERS)).alias("first"))
+    differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"first.{c}"))) for c in NUMBERS), F.lit(0))
+    led = crowd.join(first, "bucket").select(
+        F.col("bucket").alias("parent"), "node", *NUMBERS, F.col("first.node").alias("b"), (differ > WIDE_RADIUS).alias("open")
+    )
+    led = written(led)
+    found = led.filter("not open and node <> b").select(F.col("node").alias("a"), "b")
+    mixed = led.filter("open").select("parent").distinct()
+    cut = bucketed(led.join(mixed, "parent", "left_semi").drop("b"), CUT_BITS, CUT_FOUND, "parent")
+    cut = written(cut.select(F.col("bucket").alias("group"), "node", *NUMBERS, "open"))
+    blocks = lambda n: F.ceil(n / most).cast("bigint")
+    sizes = cut.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.count_if("open").alias("n_open")).filter("n > 1 and n_open > 0")
+    sizes = written(sizes.select("group", blocks(F.col("n_open")).alias("n_left"), blocks(F.col("n")).alias("n_right")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_buckets((np.column_stack([np.asarray(c) for c in b.columns]) for b in batches), 3):
+            pairs = bucket_numbers(rows, 3)
+            rows = rows[np.lexsort((rows[:, 4], -rows[:, 3], pairs))]  # of each pair of blocks, all members first
+            side, fps = rows[:, 3], np.ascontiguousarray(rows[:, 5:]).view("uint64")
+            ends = np.flatnonzero(np.append(np.diff(pairs) > 0, True)) + 1
+            starts = np.append(0, ends[:-1])
+            left = np.flatnonzero(side == 0)
+            low = starts[pairs[left]]
+            high = low + np.bincount(pairs, side, len(starts)).astype("int64")[pairs[left]]
+            i, j = _pairs(fps, planes(fps), left, low, high, WIDE_RADIUS)
+            yield linked(*forest_of(rows[i, 4], rows[j, 4]))
+
+    return found.unionByName(arrow(in_blocks(cut, sizes, NUMBERS), run, "a bigint, b bigint"))
+
+
+def forest_of(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that span the same components as the links (a, b) of names do."""
+    names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    return forest(names, at[: len(a)], at[len(a) :])
+
+
+def few_links(classes: DataFrame) -> DataFrame:
+    """Links a, b between small sets that share a key, through the least node of the key."""
+    keyed = classes.filter("few is not null").select("node", F.explode("few").alias("key"))
+    least = keyed.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("last")).filter("b <> last")
+    return keyed.join(least, "key").filter("node <> b").select(F.col("node").alias("a"), "b").distinct()
+
+
+def wide_links(classes: DataFrame, most: int = MOST) -> DataFrame:
+    """Links a, b that span the components of nodes with near wide fingerprints; classes has node, numbers and maybe few."""
+    dealt = bucketed(classes.select("node", *NUMBERS), KEY_BITS, FOUND)
+    crowds = written(dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most).select("bucket"))
+    if crowds.isEmpty():
+        found = _within_buckets(dealt)
+    else:
+        found = _within_buckets(dealt.join(crowds, "bucket", "left_anti"))
+        found = found.unionByName(_split_buckets(written(dealt.join(crowds, "bucket")), most))
+    return found.unionByName(few_links(classes)) if "few" in classes.columns else found
 
 
 def text_key() -> list[Column]:
@@ -530,46 +566,93 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return written(map_batches(whole, "a bigint, b bigint, same boolean", work))
 
 
-def wide_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """node, root: components of nodes that links of similarity 0.8 or more join; classes has node, fp, few, first.
+def similar_sets(left: list[np.ndarray], right: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Indices (i, j) of sets with a similarity of 0.8 or more; common members are counted by products of 0/1 matrices."""
+    sizes = [np.array([len(x) for x in side]) for side in (left, right)]
+    values, at = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    owner = np.repeat(np.arange(len(left) + len(right)), np.concatenate(sizes))
+    on_left = owner < len(left)
+    shared = (np.bincount(at[on_left], minlength=len(values)) > 0) & (np.bincount(at[~on_left], minlength=len(values)) > 0)
+    place = np.cumsum(shared) - 1
+    keep = shared[at]
+    column, owner = place[at[keep]], owner[keep]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    both = np.zeros((len(left), len(right)), "float32")
+    for start in range(0, int(shared.sum()), 4096):
+        a, b = np.searchsorted(column, [start, start + 4096])
+        part = np.zeros((len(left) + len(right), 4096), "float32")
+        part[owner[a:b], column[a:b] - start] = 1
+        both += part[: len(left)] @ part[len(left) :].T
+    return np.nonzero(5 * both >= 4 * (sizes[0][:, None] + sizes[1][None] - both))
+
+
+def _similar_in_blocks(members: DataFrame) -> DataFrame:
+    """Links of similarity 0.8 or more that span what the open members of groups have; members has hashes."""
+    n, size, open_ = F.count(F.lit(1)), F.sum(F.length("hashes")), F.col("open")
+    blocks = lambda n, size: F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES), F.lit(1)).cast("bigint")
+    open_size = F.coalesce(F.sum(F.when(open_, F.length("hashes"))), F.lit(0))
+    sizes = members.groupBy("group").agg(blocks(F.count_if(open_), open_size).alias("n_left"), blocks(n, size).alias("n_right"), n.alias("n"))
+    sizes = written(sizes.filter("n > 2").drop("n"))  # of two, the pair is known
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, sides = None, ([], [])
+        for batch in batches:
+            keys = list(zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True))
+            for at, (side, node, hashes) in zip(keys, zip(*(batch.column(k).to_pylist() for k in (3, 4, 5)), strict=True), strict=True):
+                if at != key:
+                    if sides[0] and sides[1]:
+                        yield found(*sides)
+                    key, sides = at, ([], [])
+                sides[side].append((node, np.frombuffer(hashes, "uint64")))
+        if sides[0] and sides[1]:
+            yield found(*sides)
+
+    def found(left: list, right: list) -> pa.RecordBatch:
+        i, j = similar_sets([x[1] for x in left], [x[1] for x in right])
+        names = [np.array([x[0] for x in side], "int64") for side in (left, right)]
+        return linked(*forest_of(names[0][i], names[1][j]))
+
+    return arrow(in_blocks(members, sizes, ["hashes"]), run, "a bigint, b bigint")
+
+
+def wide_components(docs: DataFrame, classes: DataFrame, most: int = MOST) -> DataFrame:
+    """node, root: components of nodes that links of similarity 0.8 or more join; classes has node, numbers, few, first.
 
     Fingerprints propose; shingle sets decide. Near fingerprints form components
     first. All nodes of one are compared with its least node; where all are
-    similar to it, that is all. In the others, all pairs of near fingerprints
-    that are not linked yet are compared.
+    similar to it, that is all. In the others, the nodes that are not similar to
+    it are compared with all of the component.
     """
-    n = classes.count()
-    stars = written(label_components(contracted(wide_links(classes, n))))
+    stars = written(label_components(contracted(wide_links(classes, most))))
     nodes = stars.select("node").unionByName(stars.select(F.col("root").alias("node"))).distinct()
     sets = written(shingle_sets(docs, classes.join(nodes, "node").select("node", "first")))
     checked = compared(stars.select(F.col("root").alias("a"), F.col("node").alias("b")), sets)
     links = checked.filter("same").select("a", "b")
-    mixed = checked.filter("not same").select("a").distinct()
+    mixed = written(checked.filter("not same").select(F.col("a").alias("group")).distinct())
     if not mixed.isEmpty():
-        labels = checked.join(mixed, "a", "left_semi").select(F.col("b").alias("node"), F.when(F.col("same"), F.col("a")).otherwise(F.col("b")).alias("label"))
-        labels = labels.unionByName(mixed.select(F.col("a").alias("node"), F.col("a").alias("label")))
-        pairs = written(wide_links(written(classes.join(labels, "node")), n, every=True).distinct())
-        links = links.unionByName(compared(pairs, sets).filter("same").select("a", "b"))
-    return label_components(contracted(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+        members = checked.join(mixed, F.col("a") == F.col("group")).select("group", F.col("b").alias("node"), (~F.col("same")).alias("open"))
+        members = members.unionByName(mixed.select("group", F.col("group").alias("node"), F.lit(False).alias("open")))
+        links = links.unionByName(_similar_in_blocks(written(members.join(sets, "node"))))
+    return label_components(contracted(links))
 
 
 def wide_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The documents' prints; of each node its print and the first row that has it, null ids last."""
     prints = written(wide_prints(docs))
-    first = F.min(F.struct(*text_key())).alias("first")
-    return prints, written(prints.groupBy("node").agg(F.first("fp").alias("fp"), F.first("few").alias("few"), first))
+    own = [F.first(c).alias(c) for c in (*NUMBERS, "few")]
+    return prints, written(prints.groupBy("node").agg(*own, F.min(F.struct(*text_key())).alias("first")))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, most: int = MOST) -> DataFrame:
     """Of each group of near duplicates one row: by order of doc_id (nulls last), text hash and text."""
     names = docs.columns
     _, classes = wide_classes(docs)
-    roots = wide_components(docs, classes)
+    roots = wide_components(docs, classes, most)
     named = classes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "first")
     kept = named.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
-    key = ["_none", "_id", "_hash"]
-    hashed = docs.withColumn("_hash", F.xxhash64("text"))
-    keyed = hashed.select("*", F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", F.lit(0)).alias("_id"))
-    found = keyed.join(kept.toDF(*key), key, "left_semi")
-    first = Window.partitionBy(*key).orderBy("text")  # what is left are copies of id and text
-    return found.withColumn("_row", F.row_number().over(first)).filter("_row = 1").select(*names)
+    none, id_, hash_, row = unused(names, "none", "id", "hash", "row")
+    keyed = docs.withColumns({none: F.col("doc_id").isNull(), id_: F.coalesce("doc_id", F.lit(0)), hash_: F.xxhash64("text")})
+    found = keyed.join(kept.toDF(none, id_, hash_), [none, id_, hash_], "left_semi")
+    first = Window.partitionBy(none, id_, hash_).orderBy("text")  # what is left are copies of id and text
+    return found.withColumn(row, F.row_number().over(first)).filter(F.col(row) == 1).select(*names)

@@ -121,28 +121,54 @@ def test_keep_one(spark, odd, none):
     assert simhash.keep_one(none).count() == simhash.components(none).count() == 0
 
 
-def test_wide_links_find_pairs_at_the_required_similarity(spark):
+def planted_pairs(n):
+    """Texts 2k and 2k + 1 of n pairs, whose five-word shingles have a similarity of 317/397, just under 0.8."""
     r = np.random.default_rng(6)
-    rows = []
-    for k in range(300):  # 361 words have 357 shingles; a change of 8 words far apart leaves 317 of 397: 0.798
+    texts = []
+    for k in range(n):
         base = [f"w{x}" for x in r.integers(0, 10**9, 361)]
         other = list(base)
         for place in range(20, 340, 40):
             other[place] = f"z{k}"
-        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
-    prints = spark.createDataFrame([(k, simhash.fingerprint(t, 5, 4).tobytes()) for k, t in rows], "node bigint, fp binary")
-    roots = {x.node: x.root for x in simhash.label_components(simhash.wide_links(prints, 600)).collect()}
+        texts += [" ".join(base), " ".join(other)]
+    return texts
+
+
+def wide(spark, texts):
+    prints = [[k, *simhash.fingerprint(t, 5, 4).view("int64").tolist()] for k, t in enumerate(texts)]
+    return spark.createDataFrame(prints, "node bigint, " + ", ".join(f"{c} bigint" for c in simhash.NUMBERS))
+
+
+def test_wide_links_find_pairs_at_the_required_similarity(spark):
+    prints = wide(spark, planted_pairs(1_000))
+    roots = {x.node: x.root for x in simhash.label_components(simhash.wide_links(prints)).collect()}
     assert all(roots[k] // 2 == k // 2 for k in roots)
-    assert sum(2 * k + 1 in roots for k in range(300)) >= 0.98 * 300
-    places = [len(simhash.subsets(n)) for n in (10**5, 10**7)]
-    assert places[0] < places[1] < 120
+    assert sum(2 * k + 1 in roots for k in range(1_000)) >= 0.93 * 1_000
+
+
+def test_split_buckets_lose_few_links(spark):
+    prints = wide(spark, planted_pairs(200))
+    plain = {x.node: x.root for x in simhash.label_components(simhash.wide_links(prints)).collect()}
+    split = {x.node: x.root for x in simhash.label_components(simhash.wide_links(prints, most=2)).collect()}
+    assert set(split.items()) <= set(plain.items()) and len(split) >= 0.97 * len(plain)
+    near = wide(spark, near_texts(36))
+    plain = simhash.label_components(simhash.wide_links(near)).collect()
+    assert sorted(plain) == sorted(simhash.label_components(simhash.wide_links(near, most=3)).collect())
+
+
+def test_similar_sets():
+    r = np.random.default_rng(9)
+    sets = [np.unique(r.choice(40, r.integers(1, 40))).astype("uint64") for _ in range(60)]
+    i, j = simhash.similar_sets(sets[:25], sets[20:])
+    similar = lambda x, y: 5 * len(set(x) & set(y)) >= 4 * len(set(x) | set(y))
+    assert sorted(zip(i, j, strict=True)) == [(a, b) for a in range(25) for b in range(40) if similar(sets[a], sets[20 + b])]
 
 
 def words(r, n):
     return [f"w{x}" for x in r.integers(0, 10**9, n)]
 
 
-def test_near_fingerprints_are_confirmed_on_sets(spark):
+def test_near_fingerprints_are_confirmed_on_sets(spark, monkeypatch):
     r = np.random.default_rng(7)
     line = words(r, 12)
     rows = [" ".join(line * 40 + words(r, 100)) for _ in range(10)]  # a repeated line, different bodies
@@ -164,6 +190,9 @@ def test_near_fingerprints_are_confirmed_on_sets(spark):
     docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
     expected = sorted({x: k for k, x in reversed(list(enumerate(root)))}.values())
     assert sorted(x.doc_id for x in simhash.keep_one(docs).collect()) == expected
+    monkeypatch.setattr(simhash, "BLOCK", 3)
+    monkeypatch.setattr(simhash, "TOGETHER", 2)
+    assert sorted(x.doc_id for x in simhash.keep_one(docs, most=4).collect()) == expected
     assert len(expected) == 10 + 20 + 1 + 1
 
 
@@ -175,3 +204,9 @@ def test_one_row_remains_of_each_component_whatever_the_ids(spark):
     kept = sorted((x.doc_id is None, x.doc_id or 0, x.text) for x in simhash.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
     expected = [(True, 0, t) for t in texts[:5]] + [(False, 1, t) for t in texts[5:9]]
     assert kept == sorted([*expected, (False, 0, texts[9]), (False, 3, texts[10]), (False, 3, texts[11])])
+
+
+def test_columns_with_names_of_its_own(spark):
+    rows = [(1, "a b c d e f", 7, 8, 9, 10), (2, "a b c d e f", 7, 8, 9, 10), (3, "g", None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _ROW int, none int, id int, hash int")
+    assert sorted(map(tuple, simhash.keep_one(docs).collect())) == [rows[0], rows[2]]
