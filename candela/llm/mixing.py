@@ -12,20 +12,25 @@ Sources are joined as a broadcast table while there are at most
 ``BROADCAST_SOURCES`` of them, otherwise by a shuffle on (source, salt) with
 the small side repeated for each salt, so that a hot source is spread.
 
+The thresholds of a rate are made in log space for the counts within 12
+standard deviations, and 30 more, of the rate; so any rate has its own law.
+
 Defined cases: a null source is a source of its own; null and empty texts
-count as one character, so that a source of them has a finite rate; copies and
-equal ids with equal texts get equal counts; an empty table gives no rows;
-other columns are kept, and a clash with an added name replaces the old one.
+count as one character, so that a source of them has a finite rate; rows equal
+in id and text get equal counts, rows that share only the id (or have none) are
+drawn apart; an empty table gives no rows; other columns are kept, and a clash
+with an added name replaces the old one.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candela.llm.common import unit, written
+from candela.llm.common import unit, unused, written
 
 BROADCAST_SOURCES = 100_000
 SALTS = 64
@@ -33,20 +38,30 @@ SALTS = 64
 TAIL = 1e-16
 
 
-def poisson_thresholds(rate: Column) -> Column:
-    """P(X <= k) for k = 0, 1, ... until the rest is below TAIL; the count is how many of them are <= u."""
-    most = (rate + 12 * F.sqrt(rate) + 30).cast("int")
-    steps = F.aggregate(
-        F.sequence(F.lit(1), most),
-        F.struct(F.exp(-rate).alias("p"), F.exp(-rate).alias("total"), F.array(F.exp(-rate)).alias("all")),
-        lambda a, k: F.struct(
-            (a["p"] * rate / k).alias("p"),
-            (a["total"] + a["p"] * rate / k).alias("total"),
-            F.concat(a["all"], F.array(a["total"] + a["p"] * rate / k)).alias("all"),
-        ),
-        lambda a: a["all"],
-    )
-    return F.filter(steps, lambda t: t < 1 - TAIL)
+def log_factorial(k: Column) -> Column:
+    """ln k!, of a table for small k, else by Stirling's series to 1e-15."""
+    small = F.array(*[F.lit(math.lgamma(i + 1)) for i in range(32)])
+    x = k.cast("double")
+    series = 1 / (12 * x) - 1 / (360 * F.pow(x, 3)) + 1 / (1260 * F.pow(x, 5)) - 1 / (1680 * F.pow(x, 7))
+    return F.when(k < 32, F.get(small, k.cast("int"))).otherwise(x * F.log(x) - x + F.log(2 * math.pi * x) / 2 + series)
+
+
+def with_thresholds(rates: DataFrame, lowest: str, at_most: str) -> DataFrame:
+    """rates (_source, rate) with P(X <= k) for k from ``lowest`` until the rest is below TAIL, as an array.
+
+    A count is ``lowest`` and how many of them are <= u.
+    """
+    rate, k = F.col("rate"), F.col("k")
+    spread = 12 * F.sqrt(rate) + 30
+    low, high = F.greatest(F.lit(0), F.floor(rate - spread)).cast("bigint"), F.floor(rate + spread).cast("bigint")
+    each = rates.select("_source", "rate", low.alias(lowest), F.explode(F.sequence(low, high)).alias("k"))
+    p = F.when(rate > 0, F.exp(k * F.log(rate) - rate - log_factorial(k))).otherwise((k == 0).cast("double"))
+    up_to = Window.partitionBy("_source", "rate", lowest).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("_source", "rate", lowest)
+    summed = each.withColumn("p", p).withColumn("t", F.sum("p").over(up_to) / F.sum("p").over(whole))
+    pairs = F.collect_list(F.when((F.col("t") < 1 - TAIL), F.struct("k", "t")))
+    lists = summed.groupBy("_source", "rate", lowest).agg(F.array_sort(pairs).alias("pairs"))
+    return lists.select("_source", "rate", lowest, F.transform("pairs", lambda x: x["t"]).alias(at_most))
 
 
 def source_rates(docs: DataFrame, alpha: float, size: float, weights: Mapping[str, float] | None = None) -> DataFrame:
@@ -81,22 +96,23 @@ def mix(
     """
     added = ("rate", "n_copies", "copy", "shuffle_key")
     docs = docs.select(*[c for c in docs.columns if c not in added])
-    rates = source_rates(docs, alpha, size, weights).withColumn("_at_most", poisson_thresholds(F.col("rate")))
     names = docs.columns
+    lowest, at_most, salt, text_hash, from_ = unused([*names, *added], "lowest", "at_most", "salt", "text_hash", "from")
+    rates = written(with_thresholds(source_rates(docs, alpha, size, weights), lowest, at_most))
+    rates = rates.withColumnRenamed("_source", from_)
+    hashed = docs.withColumn(text_hash, F.md5("text"))
     if rates.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
-        joined = docs.join(F.broadcast(rates), docs["source"].eqNullSafe(rates["_source"]))
+        joined = hashed.join(F.broadcast(rates), F.col("source").eqNullSafe(F.col(from_)))
     else:
-        salted = docs.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
-        repeated = rates.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = salted.join(
-            repeated, salted["source"].eqNullSafe(repeated["_source"]) & (salted["_salt"] == repeated["_salt"])
-        )
-    u = unit(f"{seed}/count", F.col("doc_id"))
-    counted = joined.select(
-        *[docs[c] for c in names], "rate", F.size(F.filter("_at_most", lambda t: t <= u)).cast("int").alias("n_copies")
-    ).filter("n_copies > 0")
+        salted = hashed.withColumn(salt, F.pmod(F.xxhash64(text_hash, "doc_id"), F.lit(SALTS)))
+        other = f"{salt}_"
+        repeated = rates.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = salted.join(repeated, F.col("source").eqNullSafe(F.col(from_)) & (F.col(salt) == F.col(other)))
+    u = unit(f"{seed}/count", F.col("doc_id"), F.col(text_hash))
+    n_copies = (F.col(lowest) + F.size(F.filter(at_most, lambda t: t <= u))).cast("int")
+    counted = joined.select(*names, "rate", n_copies.alias("n_copies"), text_hash).filter("n_copies > 0")
     copies = counted.select("*", F.explode(F.sequence(F.lit(0), F.col("n_copies") - 1)).alias("copy"))
-    copies = copies.withColumn("shuffle_key", unit(f"{seed}/order", F.col("doc_id"), F.col("copy")))
+    copies = copies.withColumn("shuffle_key", unit(f"{seed}/order", F.col("doc_id"), F.col(text_hash), F.col("copy"))).drop(text_hash)
     key = F.col("shuffle_key")
     dealt = copies.repartition(partitions, key) if partitions else copies.repartition(key)
     return dealt.sortWithinPartitions("shuffle_key", "doc_id", "copy")
