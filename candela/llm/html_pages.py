@@ -55,8 +55,13 @@ class PageMaker:
                 out[k] += self.r.choice(",.;:!?")
         return " ".join(out) + self.r.choice((".", ".", ".", "", "!", "?"))
 
+    def made_up(self) -> str:
+        return "".join(self.r.choice("abcdefghijklmnoprstuvwxyz") for _ in range(self.r.randint(2, 9)))
+
     def attributes(self, names: str) -> str:
         name = self.r.choice(names.split())
+        if self.r.random() < 0.3:  # names that tell nothing, as most sites have
+            name = f"{name} {self.made_up()}"
         if self.r.random() < 0.3:
             name += self.r.choice((" ", "-", "_")) + self.r.choice(NEUTRAL.split())
         how = self.r.random()
@@ -151,4 +156,10 @@ class PageMaker:
         parts = [self.part(k) for k in before] + body + [self.part(k) for k in after]
         if r.random() < 0.3:
             parts = [f"<div{self.attributes(NEUTRAL)}>", *parts, "</div>"]
+        if r.random() < 0.06:  # some systems put the whole page into a form
+            parts = [f"<form{self.attributes(NEUTRAL)}>", *parts, "</form>"]
+        for _ in range(r.choice((0, 0, 0, 1, 2))):
+            parts = [f'<div {r.choice(("id", "class"))}="{self.made_up()}">', *parts, "</div>"]
+        if r.random() < 0.15:
+            return "".join(["<body>", *parts])
         return f"<!DOCTYPE html><html><head><title>x</title></head><body>{''.join(parts)}</body></html>"

@@ -23,13 +23,16 @@ from pyspark.sql import DataFrame
 
 from candela.llm.common import map_batches
 from candela.llm.html_pages import PageMaker
-from candela.llm.html_parse import Block, blocks
+from candela.llm.html_parse import HIDDEN as HIDDEN_PART
+from candela.llm.html_parse import Block, blocks, path_of
 
 PATH_DIM, WORD_DIM, MEASURES = 192, 32, 8
 INPUT = PATH_DIM + WORD_DIM + MEASURES
 HIDDEN = 24
-#: Elements whose name says that they hold no main text; the labeller decides on all others.
+#: Elements whose name says that they hold no main text; the labeller decides on all others. A form that holds
+#: most of the page's text is the page's frame, and says nothing.
 NEVER = frozenset(("nav", "footer", "aside", "form", "dialog"))
+FORM = frozenset(("form",))
 PAGES, EPOCHS, BATCH, RATE, SEED = 1_500, 6, 32, 0.01, 42
 
 
@@ -39,17 +42,19 @@ def place(word: str, dim: int) -> tuple[int, float]:
     return h % dim, 1.0 if h >> 16 & 1 else -1.0
 
 
+@lru_cache(20_000)
+def path_places(path: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Places and signs of a path's names, the innermost ones once more."""
+    found = [place(part, PATH_DIM) for part in sorted(set(path))] + [place("\0" + part, PATH_DIM) for part in path[-2:]]
+    return np.array([at for at, _ in found], "int64"), np.array([sign for _, sign in found], "float32")
+
+
 def features(page: list[Block]) -> np.ndarray:
     """One row for each block."""
     out = np.zeros((len(page), INPUT), "float32")
     for k, (row, block) in enumerate(zip(out, page, strict=True)):
-        for part in set(block.path):
-            at, sign = place(part, PATH_DIM)
-            row[at] += sign
-        if block.path:  # the innermost names once more
-            for part in block.path[-2:]:
-                at, sign = place("\0" + part, PATH_DIM)
-                row[at] += sign
+        at, signs = path_places(block.path)
+        np.add.at(row, at, signs)
         words = block.text.lower().split()
         hashes = np.fromiter((zlib.crc32(w.encode()) for w in words), "int64", len(words))
         signs = np.where(hashes >> 16 & 1, 1.0, -1.0)
@@ -152,14 +157,26 @@ class Labeller:
         return np.concatenate([self.forward.run(x, mask), self.backward.run(x[::-1], mask[::-1])[::-1]], axis=2)
 
     def main_text(self, pages: list[str | None]) -> list[str]:
-        parsed = [blocks(p) for p in pages]
+        parsed = [unframed(blocks(p)) for p in pages]
         found = self.probabilities([features(b) for b in parsed])
         return [
-            "\n".join(b.text for b, p in zip(page, ps, strict=True) if p > 0.5 and not NEVER.intersection(b.path_tags))
+            "\n".join(b.text for b, p in zip(page, ps, strict=True) if p > 0.5 and HIDDEN_PART not in b.path and not b.inside(NEVER))
             for page, ps in zip(parsed, found, strict=True)
         ]
 
 
+def unframed(page: list[Block]) -> list[Block]:
+    """The blocks, without forms in their paths where forms hold most of the page's text."""
+    inside = sum(len(b.text) for b in page if b.inside(FORM))
+    if 2 * inside <= sum(len(b.text) for b in page):
+        return page
+    out = []
+    for b in page:
+        levels = tuple(x for x in b.levels if x[0] not in FORM)
+        out.append(Block(b.text, levels, b.link_chars, path_of(levels)))
+    return out
+
+
 def packed(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Inputs [time, page, INPUT] and whether a step is a block."""
     longest = max(map(len, pages))
@@ -194,7 +211,7 @@ def train(pages: int = PAGES, epochs: int = EPOCHS, seed: int = SEED) -> Labelle
     while len(data) < pages:
         page, labels = labelled_page(maker.page())
         if 0 < len(page) == len(labels):
-            data.append((features(page), labels))
+            data.append((features(unframed(page)), labels))
     rng = np.random.default_rng(seed)
     new = lambda *shape: (rng.standard_normal(shape) / np.sqrt(shape[0])).astype("float32")
     start = np.concatenate([np.zeros(HIDDEN), np.ones(HIDDEN), np.zeros(2 * HIDDEN)]).astype("float32")

@@ -19,6 +19,29 @@ def test_parsing():
     assert texts(None) == texts("") == []
 
 
+def test_markup_never_leaks():
+    assert texts('<p title="x>Hello</p><p>next</p>') == ["Hello", "next"]
+    assert texts("<p title='a>b' data-x=\"c>d\">one</p>2 < 3 &lt;p> a<b and more") == ["one", "2 < 3 <p> a"]
+    assert texts('<p class="it\'s">a</p><p x=" >b') == ["a", "b"]
+    assert texts('5" disk<p>6\' tall <i>"quoted"</i>') == ['5" disk', "6' tall \"quoted\""]
+    assert texts("a</>b<//x>c<?pi x?>d<![CDATA[e]]>f<!doctype x>g") == ["abcdfg"]
+    assert texts("<svg width=1 />kept<button>Go</button> this<button-group>too</button-group>") == ["kept", "this", "too"]
+    assert texts("<div><button>open</div><p>still here") == ["open", "still here"]
+    assert texts("<div><select><option>x<option>y</div><p>z</p></select>w") == ["z", "w"]
+    assert texts("<script>if (a < b) '<p>'</SCRIPT ><p>x<textarea>t<b>") == ["x"]
+    assert texts("<title>t</title><noscript>n</noscript><template><p>q</p></template>r") == ["r"]
+
+
+def test_hostile_pages_take_linear_time():
+    import time
+
+    n = 1 << 20
+    for unit in ('<a "', "<a '>", "<a x=\">", "<div>x", "<b", "<!--", "</", "&", "<p class=", "< ", "<svg>", "<button>x", "a<br>", "<a x='\" ", "<script>"):
+        began = time.process_time()
+        blocks((unit * (n // len(unit)))[:n])
+        assert time.process_time() - began < 4, unit
+
+
 def test_article_is_found_in_held_out_pages():
     maker, model, wrong, total = PageMaker(99), html_text.train(), 0, 0
     for _ in range(100):
@@ -48,3 +71,31 @@ def test_odd_pages(spark):
     assert got[1].text == got[None].text == got[2].text == ""
     assert got[4].n_chars == len("Word again. " * 20_000) - 1
     assert html_text.extract_pages(pages.limit(0)).count() == 0
+
+
+# Pages that no generator made, with the text that a reader would call the article.
+WRITTEN = [
+    (
+        """<html><head><title>T</title><style>p{}</style></head><body class=home>
+<div id="topnav"><a href="/">Home</a> | <a href="/a">About</a> | <a href="/c">Contact</a></div>
+<div id="content"><h1>How bridges carry load</h1>
+<p>An arch turns weight into thrust, which its abutments must resist. That is why old bridges have heavy ends.</p>
+<p style="display:none">Track this invisible sentence, which nobody can read on the page at all.</p>
+<p>A beam bends instead: its upper side is pressed, its lower side is pulled, and &ldquo;the middle&rdquo; does nothing.</p>
+<p hidden>Another paragraph that is not shown to any reader of the page, whatever it says.</p></div>
+<div class="footer">&copy; 2020 Someone. All rights reserved. <a href="/p">Privacy</a></div></body></html>""",
+        "How bridges carry load\nAn arch turns weight into thrust, which its abutments must resist. That is why old bridges have heavy ends.\n"
+        "A beam bends instead: its upper side is pressed, its lower side is pulled, and \u201cthe middle\u201d does nothing.",
+    ),
+]
+
+
+def test_written_pages():
+    model = html_text.train()
+    assert model.main_text([page for page, _ in WRITTEN]) == [text for _, text in WRITTEN]
+
+
+def test_a_form_around_the_page_says_nothing():
+    page = blocks("<form id=f><div class=menu>x</div><p>a long text that is the page</p></form><p>more</p>")
+    assert [b.path for b in html_text.unframed(page)] == [("div", "menu"), ("p",), ("p",)]
+    assert html_text.unframed(blocks("<form>x</form><p>a long text</p>"))[0].inside(html_text.NEVER)
