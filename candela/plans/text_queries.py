@@ -150,7 +150,14 @@ def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return purpose.parse(analogs.purposes(spark, sf_dir))
 
 
-@query()
+#: A component's own part of the text.
+RAW = """CASE WHEN tmpl IN (5, 9) AND component_ix = 0 THEN 'Annual General Meeting'
+  WHEN tmpl = 5 AND component_ix = 1 THEN concat('Dividend - Rs ', 1 + o_orderkey % 9, ' Per Share') WHEN tmpl = 5 THEN concat('Special Dividend - Rs ', 1 + o_orderkey % 6, ' Per Share')
+  WHEN tmpl = 9 THEN concat('dividend - Rs ', 1 + o_orderkey % 9, ' Per Share')
+  WHEN tmpl = 10 AND component_ix = 0 THEN 'Interim Dividend - Rs 8 Per Share' WHEN tmpl = 10 THEN concat('Special Dividend - Rs ', 1 + o_orderkey % 60, ' Per Share') ELSE purpose END"""
+
+
+@query(PARTS + f"SELECT o_orderkey, component_ix, {RAW} AS raw_text FROM typed JOIN (SELECT o_orderkey, purpose FROM purposes) USING (o_orderkey)")
 def txt_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clauses of each text."""
     return parsed(spark, sf_dir).select("o_orderkey", "component_ix", "raw_text")
@@ -175,7 +182,10 @@ def txt_census(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analogs.purposes(spark, sf_dir).groupBy(scalars.template(F.col("purpose")).alias("template")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query("""WITH base AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 12 = 0)
+SELECT o_orderkey, 0 AS component_ix, 'NO_ADJUST' AS type, CAST(NULL AS DOUBLE) AS div_amount, true AS parsed_ok FROM base
+UNION ALL SELECT o_orderkey, 1, 'INTEREST_PAYMENT', NULL, true FROM base
+UNION ALL SELECT o_orderkey, 2, 'RETURN_OF_CAPITAL', round((o_orderkey % 13 + 1) / 100.0, 4), true FROM base""")
 def txt_headline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A distribution's leading total does not count beside its parts."""
     base = table(spark, sf_dir, "orders").filter("o_orderkey % 12 = 0")
@@ -188,10 +198,14 @@ def txt_headline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("o_orderkey", "component_ix", "type", F.col("div_amount").cast("double").alias("div_amount"), "parsed_ok")
 
 
-@query()
+@query(PARTS + f"""SELECT o_orderkey, face_value, tmpl, component_ix, {RAW} AS raw_text, type, round(ratio_num, 6) AS ratio_num, round(ratio_den, 6) AS ratio_den,
+CAST(CASE WHEN type = 'RIGHTS' THEN o_orderkey % 50 END AS DOUBLE) AS premium, round(sub_price, 6) AS sub_price, round(div_amount, 6) AS div_amount,
+type = 'SPECIAL_DIVIDEND' AS is_special, parsed_ok, CASE WHEN parsed_ok THEN 'high' ELSE 'low' END AS confidence, review_reason, severity
+FROM typed JOIN (SELECT o_orderkey, purpose FROM purposes) USING (o_orderkey)""")
 def txt_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything that the parser gives."""
-    return parsed(spark, sf_dir)
+    out = parsed(spark, sf_dir).drop("purpose")
+    return out.withColumns({c: F.round(F.col(c).cast("double"), 6) for c in ("ratio_num", "ratio_den", "premium", "sub_price", "div_amount")})
 
 
 @query(PARTS + "SELECT type, severity, CAST(count(*) AS BIGINT) AS n FROM typed GROUP BY type, severity")
@@ -240,10 +254,9 @@ def ing_reparse_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(P_ + "SELECT o_orderkey, round(CAST(o_orderkey % 7 AS DOUBLE), 4) AS n FROM purposes WHERE false")
+@query(P_ + "SELECT o_orderkey, CAST(1 AS BIGINT) AS n FROM purposes WHERE o_orderkey % 3 = 0 AND tmpl NOT IN (5, 9, 10)")
 def txt_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts without clauses have no components."""
-    blank = analogs.purposes(spark, sf_dir).withColumn("purpose", F.lit(" / - & "))
-    return purpose.parse(blank).select("o_orderkey", F.round((F.col("o_orderkey") % 7).cast("double"), 4).alias("n"))
-
-
+    """Texts without clauses have no components; those of one clause have one."""
+    texts = analogs.purposes(spark, sf_dir).filter("tmpl not in (5, 9, 10)")
+    blank = texts.withColumn("purpose", F.when(F.col("o_orderkey") % 3 == 0, F.col("purpose")).when(F.col("o_orderkey") % 3 == 1, " / - & "))
+    return purpose.parse(blank).groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n"))

@@ -139,6 +139,19 @@ PURPOSES = [
     ("Demerger", None, [("DEMERGER", None, None, None, False)]),
     ("Capital Reduction", None, [("CAPITAL_REDUCTION", None, None, None, False)]),
     ("Redemption", None, [("REDEMPTION", None, None, None, False)]),
+    ("Tresury Income Re 0.5 Per Unit", None, [("INTEREST_PAYMENT", None, None, None, True)]),
+    ("Dividend - Rs.2.5 Per Share", None, [("DIVIDEND", None, None, 2.5, True)]),
+    ("Dividend Of 3 Rs And Buy-Back", None, [("DIVIDEND", None, None, 3, True), ("BUYBACK", None, None, None, True)]),
+    ("Final Special Dividend Rs 3", None, [("DIVIDEND", None, None, 3, True)]),
+    ("Interim And Special Dividend .75 Re", None, [("UNKNOWN", None, None, None, False), ("SPECIAL_DIVIDEND", None, None, 0.75, True)]),
+    ("Bonus Of N.C.R.P.S 3:2", None, [("BONUS_PREFERENCE", 3, 2, None, True)]),
+    ("Bonus Pref. Shares", None, [("BONUS_PREFERENCE", None, None, None, True)]),
+    ("Spin Off", None, [("SPINOFF", None, None, None, False)]),
+    ("Repayment Of Spv Debt And Ncds - Rs 1.5 Per Unit", None, [("RETURN_OF_CAPITAL", None, None, None, False), ("RETURN_OF_CAPITAL", None, None, 1.5, True)]),
+    ("Coupon 7.5%", None, [("INTEREST_PAYMENT", None, None, None, True)]),
+    ("Financial Results", None, [("NO_ADJUST", None, None, None, True)]),
+    ("Consolidation From Rs 1 To Rs 10", None, [("SPLIT", 1, 10, None, True)]),
+    ("Split From Rs 5 To Rs 5", None, [("SPLIT", 5, 5, None, False)]),
     ("Mf", None, [("UNKNOWN", None, None, None, False)]),
     ("", None, []),
     (
@@ -160,6 +173,16 @@ def test_purposes(spark):
         assert found == [pytest.approx(e) if None not in e else e for e in expected], text
 
 
+def test_the_parser_compiles(spark, sf_dir):
+    from candela.plans import text_queries
+
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        assert text_queries.txt_parse(spark, sf_dir).count() > 0
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
+
+
 def test_severity(spark):
     rows = [("Bonus Issue", "high"), ("Demerger", "high"), ("Mf", "medium"), ("Dividend", "low"), ("Bonus 1:1", "low")]
     data = spark.createDataFrame([(t,) for t, _ in rows], "purpose string").withColumn("face_value", F.lit(None).cast("int"))
