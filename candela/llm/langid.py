@@ -29,10 +29,10 @@ from pyspark.sql import functions as F
 
 from candela.llm.common import map_batches, remainder
 
-#: Labelled documents taken for each language and in all, languages at most, and the longest text that is taken.
-SAMPLE, SAMPLE_ALL = 400, 20_000
-LANGUAGES = 500
-SAMPLE_CHARS = 200_000
+#: Labelled rows taken for each language and in all, characters that are read of each, and languages that a model can hold.
+SAMPLE, SAMPLE_ALL = 400, 10_000
+SAMPLE_CHARS = 20_000
+LANGUAGES = 1_000
 #: Hash buckets of n-grams; lengths of n-grams; centroids of a language.
 BUCKETS = 1 << 14
 ORDERS = (1, 2, 3)
@@ -139,17 +139,20 @@ def fit_texts(labelled: dict[str, list[str]]) -> Centroids:
 
 
 def fit(docs: DataFrame, learn: Column, sample: int = SAMPLE) -> Centroids:
-    """A model from a bounded sample of the labelled rows for which ``learn`` holds."""
-    known = docs.filter(learn & F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
-    mark = F.xxhash64(F.lit("sample"), "doc_id").bitwiseXOR(F.lit(-1 << 63))  # order of unsigned hashes
-    share = (F.xxhash64(F.lit("sample"), "doc_id") / F.lit(2.0**64)) + 0.5
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    """A model from a bounded sample of the labelled rows for which ``learn`` holds; rows are drawn by id and text."""
+    known = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    drawn = F.xxhash64(F.lit("sample"), "doc_id", "text")
+    mark = drawn.bitwiseXOR(F.lit(-1 << 63))  # order of unsigned hashes
+    share = (drawn / F.lit(2.0**64)) + 0.5
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES + 1).collect()
+    if len(counts) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} labels; a label is a language")
     if not counts:
         return Centroids(np.ones(BUCKETS, "float32"))
     sample = min(sample, max(1, SAMPLE_ALL // len(counts)))
     # a hash threshold leaves somewhat more than the sample of each language; the rest is cut by order of hash
     limits = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, (sample + 6 * sample**0.5) / r["n"]))])
-    taken = known.filter(share <= F.try_element_at(limits, F.col("lang"))).select("lang", "text", mark.alias("mark")).collect()
+    taken = known.filter(share <= F.try_element_at(limits, F.col("lang"))).select("lang", F.left("text", F.lit(SAMPLE_CHARS)).alias("text"), mark.alias("mark")).distinct().collect()
     labelled: dict[str, list[str]] = {}
     for row in sorted(taken, key=lambda r: (r["mark"], r["text"])):
         texts = labelled.setdefault(row["lang"], [])
