@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -11,8 +12,12 @@ from candela.functions.scalars import row_hash, six_places
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new path in the folder that the cluster shares; a temporary one where none is set, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"/tmp/candela-{spark.sparkContext.applicationId}"
+    """A new path in the folder that the cluster shares; on a single machine a temporary one where none is set."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
+        base = f"/tmp/candela-{spark.sparkContext.applicationId}"
     return f"{base.rstrip('/')}/candela-{uuid.uuid4().hex}"
 
 
@@ -87,24 +92,50 @@ def scoped_replace(old: DataFrame, new: DataFrame, scope: DataFrame, key: str) -
 
 
 def replaced_buckets(old: DataFrame, new: DataFrame, key: str, buckets: int) -> DataFrame:
-    """The table after rewriting every bucket of keys that the new rows touch."""
+    """The table after an upsert that reads only the buckets of keys that the new rows touch; other keys stay."""
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
-    touched = new.select(bucket.alias("_bucket")).distinct()
-    kept = old.withColumn("_bucket", bucket).join(F.broadcast(touched), "_bucket", "left_anti")
-    return kept.select(*old.columns).unionByName(new.select(*old.columns))
+    touched = F.broadcast(new.select(bucket.alias("_bucket")).distinct())  # `buckets` rows at most
+    marked = old.withColumn("_bucket", bucket)
+    outside = marked.join(touched, "_bucket", "left_anti").select(*old.columns)
+    inside = marked.join(touched, "_bucket", "left_semi").join(new.select(key).distinct(), key, "left_anti").select(*old.columns)
+    return outside.unionByName(inside).unionByName(new.select(*old.columns))
+
+
+def _renamed(fs, source, target) -> None:
+    if not fs.rename(source, target):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
+def _place(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target, previous = hadoop.Path(path.rstrip("/")), hadoop.Path(f"{path.rstrip('/')}.previous")
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target, previous
+
+
+def recovered(spark: SparkSession, path: str) -> bool:
+    """Puts the last version back if a swap was broken off between its renames; whether the table exists."""
+    fs, target, previous = _place(spark, path)
+    if not fs.exists(target) and fs.exists(previous):
+        _renamed(fs, previous, target)
+    return fs.exists(target)
 
 
 def swap_in(df: DataFrame, path: str) -> None:
-    """Replaces a Parquet table: written beside it first, then moved into its place."""
+    """Replaces a Parquet table: written beside it first, then moved into its place.
+
+    The version before is moved aside and goes only when the new one is in
+    place; ``recovered`` puts it back after a crash in between.
+    """
     spark = df.sparkSession
+    there = recovered(spark, path)
     staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
     df.write.parquet(staged)
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    target, source = hadoop.Path(path), hadoop.Path(staged)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(target):
-        fs.delete(target, True)
-    fs.rename(source, target)
+    fs, target, previous = _place(spark, path)
+    if there:
+        fs.delete(previous, True)
+        _renamed(fs, target, previous)
+    _renamed(fs, spark._jvm.org.apache.hadoop.fs.Path(staged), target)
+    fs.delete(previous, True)
 
 
 def latest_ledger(ledger: DataFrame, keys: list[str], order: str) -> DataFrame:

@@ -107,7 +107,10 @@ def _canonical(raw: DataFrame, names: dict[str, str], day: Column) -> DataFrame:
     ids = {k: F.upper(F.trim(col[k])) for k in ("isin", "symbol", "series")}
     columns = {"trade_date": day, **ids, **numbers, **wholes, "instrument_type": F.lit("STK")}
     order = [c.split()[0] for c in BAR_SCHEMA.split(", ")]
-    return raw.select(*[columns[c].alias(c) for c in order], F.monotonically_increasing_id().alias("_order"))
+    place = [F.monotonically_increasing_id()]
+    if arrived := next((c for c in raw.columns if c.lower() == "arrived"), None):  # of several files the latest counts
+        place = [-F.unix_micros(F.col(arrived)["file_modification_time"]), F.col(arrived)["file_path"], *place]
+    return raw.select(*[columns[c].alias(c) for c in order], F.struct(*place).alias("_order"))
 
 
 def finalised(bars: DataFrame) -> DataFrame:

@@ -10,9 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from candela.llm import bpe, langid, mixing, secrets, simhash
-from candela.llm.common import DOCUMENT_COLUMNS, table
+from candela.llm.common import DOCUMENT_COLUMNS, table, written
 from candela.llm.queries import MIX_ALPHA, tokenizer
-from candela.operators.storage import shared_folder
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +20,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: shingles of five words, a similarity of about 0.8 or more."""
+    """One document of each group of near duplicates: shingles of five words, a similarity of 0.8 or more."""
     return simhash.keep_one(docs)
 
 
@@ -53,12 +52,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result but the last is written as Parquet and read again."""
+    """All stages over ``documents``; each result but the last is written as Parquet and read again.
+
+    The written tables go when the session ends.
+    """
     docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            path = f"{shared_folder(spark)}/{name}"
-            docs.write.parquet(path)
-            docs = spark.read.parquet(path)
+            docs = written(docs)
     return docs

@@ -274,3 +274,35 @@ def test_merge_and_swap(spark, tmp_path):
     storage.swap_in(old, path)
     storage.swap_in(storage.merged(spark.read.parquet(path), new, ["k"]), path)
     assert spark.read.parquet(path).count() == 4
+
+
+def test_a_broken_swap_is_recovered(spark, tmp_path):
+    path = str(tmp_path / "table")
+    for n in (3, 5):
+        storage.swap_in(spark.range(n), path)
+    assert spark.read.parquet(path).count() == 5
+    (tmp_path / "table").rename(tmp_path / "table.previous")  # as if the process died between the renames
+    assert storage.recovered(spark, path) and spark.read.parquet(path).count() == 5
+    storage.swap_in(spark.range(7), path)
+    assert spark.read.parquet(path).count() == 7 and not (tmp_path / "table.previous").exists()
+
+
+def test_an_upsert_of_one_key_keeps_its_neighbours(spark):
+    old = spark.range(1_000).select("id", F.lit("old").alias("v"))
+    new = spark.createDataFrame([(3, "new"), (5_000, "new")], "id bigint, v string")
+    out = {r.id: r.v for r in storage.replaced_buckets(old, new, "id", 16).collect()}
+    assert out == {**{k: "old" for k in range(1_000)}, 3: "new", 5_000: "new"}
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    class Cluster:
+        master, applicationId = "spark://host:7077", "x"
+
+    class Session:
+        sparkContext = Cluster()
+
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+    with pytest.raises(RuntimeError):
+        storage.shared_folder(Session())

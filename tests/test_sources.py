@@ -139,3 +139,20 @@ def test_landing_stream(spark, tmp_path):
     restated = MODERN.splitlines()[0] + "\n" + MODERN.splitlines()[1].replace("222.00", "223.00")
     (tmp_path / "in" / "b.csv").write_text(restated)
     assert run() == {"INE144J01027": 223.0} == run()
+
+
+def test_the_later_of_two_files_of_a_batch_counts(spark, tmp_path):
+    import os
+
+    source, target, state = (str(tmp_path / n) for n in ("in", "table", "state"))
+    os.makedirs(source)
+    names = list(bars.MODERN.values())
+    for k, (name, close) in enumerate((("b", "11"), ("a", "12"), ("c", "13"))):
+        row = {"trade_date": "2026-01-02", "isin": "INE1", "symbol": "S", "series": "EQ"}
+        cells = [row.get(key, close) for key in bars.MODERN]
+        with open(f"{source}/{name}.csv", "w") as f:
+            f.write(",".join(names) + "\n" + ",".join(cells) + "\n")
+        os.utime(f"{source}/{name}.csv", (1_700_000_000 + k * 60,) * 2 if name != "a" else (1_700_009_000,) * 2)
+    stream = landing.landed(spark, source, ", ".join(f"`{n}` string" for n in names))
+    landing.load_available(stream, lambda df: bars.modern_bars(bars.stripped(df)), target, state).awaitTermination(120)
+    assert [r.c for r in spark.read.parquet(target).collect()] == [12.0]
