@@ -31,8 +31,8 @@ from pyspark.sql.types import ArrayType, LongType
 
 from candela.llm.common import map_batches
 
-#: Chunks remembered per worker.
-REMEMBERED = 400_000
+#: Chunks, and pieces and pairs, remembered per worker.
+REMEMBERED, REMEMBERED_PIECES = 400_000, 100_000
 
 
 class ByteBPE:
@@ -60,7 +60,7 @@ class ByteBPE:
         self.shorter = self._shorter()
         self.pairs: dict[int, bool] = {}
         self.chunks: dict[str, bytes] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def _halves(self) -> list[tuple[int, int] | None]:
         """The two tokens that were merged last in making each token; None for single bytes."""
@@ -137,7 +137,7 @@ class ByteBPE:
                 key = out[-1] << 32 | token
                 fits = pairs.get(key)
                 if fits is None:
-                    if len(pairs) > REMEMBERED:
+                    if len(pairs) > REMEMBERED_PIECES:
                         pairs.clear()
                     fits = pairs[key] = self.compatible(out[-1], token)
             if fits:
@@ -176,18 +176,19 @@ class ByteBPE:
         return np.frombuffer(b"".join(parts), "<u4")
 
     def _chunk(self, chunk: str) -> bytes:
-        ids: list[int] = []
+        parts: list[bytes] = []
         known = self.pieces
-        if len(known) > REMEMBERED:
+        if len(known) > REMEMBERED_PIECES:
             known.clear()
         for piece in self.pattern.findall(chunk):
             found = known.get(piece)
             if found is None:
-                found = self.encode_piece(piece.encode())
+                ids = self.encode_piece(piece.encode())
+                found = struct.pack(f"<{len(ids)}I", *ids)
                 if len(piece) < 200:
                     known[piece] = found
-            ids += found
-        return struct.pack(f"<{len(ids)}I", *ids)
+            parts.append(found)
+        return b"".join(parts)
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
