@@ -27,8 +27,8 @@ def known_at(events: DataFrame, as_of: Column) -> DataFrame:
 def adjusted(bars: DataFrame, events: DataFrame, key: str = "user_id") -> DataFrame:
     """Bars with cumulative factors and adjusted prices, volume and total-return close.
 
-    Events after the key's last bar are left out. One exchange on the key
-    serves the edge, the union and the window.
+    Events after the key's last bar are left out: their exchange, that of the
+    events' days, and that of the timeline are on the key.
     """
     events = within_edge(multiplying(events), bars, key, "ex_date", "trade_date")
     out = strictly_after(bars, events, key, "trade_date", "ex_date", CUMULATIVE)
@@ -68,3 +68,54 @@ def canonical(bars: DataFrame, links: DataFrame) -> DataFrame:
 def affected(traded: DataFrame, changed: DataFrame, key: str) -> DataFrame:
     """Keys to rebuild: traded today, or with a changed event."""
     return traded.select(key).union(changed.select(key)).distinct()
+
+
+def materialise(
+    bars: DataFrame,
+    links: DataFrame,
+    events: DataFrame,
+    ids: DataFrame | None = None,
+    as_of: Column | None = None,
+    floor: float = 0.0,
+    delisted: DataFrame | None = None,
+) -> DataFrame:
+    """Gold rows of all securities, or of the canonical ids in ``ids``: one row for each (isin, trade_date, series).
+
+    Bars go under their canonical identifier (``links`` has isin and
+    canonical_isin), debt series are left out, and then the last bar of a
+    security is its edge. Events (isin, ex_date, factors, state, learned_at)
+    that were known at ``as_of`` and are not after the edge give the cumulative
+    factors. ``delisted`` has isin and delisting_date. Bars and the events' days
+    meet in one timeline, so that edge, products and volumes share an exchange.
+    """
+    named = lambda df: canonical(df, links).withColumnRenamed("isin", "isin_traded").withColumnRenamed("canonical_isin", "isin")
+    rows, known = named(panel_series(bars)), named(events if as_of is None else known_at(events, as_of))
+    if ids is not None:
+        wanted = ids.select("isin").distinct()
+        rows, known = rows.join(wanted, "isin", "left_semi"), known.join(wanted, "isin", "left_semi")
+    usable = lambda c: F.when(F.col(c) > 0, F.col(c))
+    daily = multiplying(known).groupBy("isin", F.col("ex_date").alias("trade_date"))
+    daily = daily.agg(F.max("learned_at").alias("_learned"), *[F.product(usable(c)).alias(f"_{c}") for c in CUMULATIVE])
+    line = rows.withColumn("_bar", F.lit(True)).unionByName(daily, allowMissingColumns=True)
+    whole = Window.partitionBy("isin")
+    line = line.withColumns(
+        {
+            "_edge": F.max(F.when(F.col("_bar"), F.col("trade_date"))).over(whole),
+            "factor_asof": F.max("_learned").over(whole),
+            "_day": F.datediff("trade_date", F.lit("1970-01-01").cast("date")),
+        }
+    )
+    after = Window.partitionBy("isin").orderBy(F.col("_day").desc()).rangeBetween(Window.unboundedPreceding, -1)
+    inside = F.col("trade_date") <= F.col("_edge")
+    products = {name: F.coalesce(F.product(F.when(inside, F.col(f"_{c}"))).over(after), F.lit(1.0)) for c, name in CUMULATIVE.items()}
+    gold = line.withColumns(products).filter("_bar")
+    prices = [c for c in ("o", "h", "l", "c", "vwap") if c in bars.columns]
+    gold = gold.withColumns({f"{c}_adj": F.col(c) * F.col("cum_factor") for c in prices})
+    gold = gold.withColumns({f"{c}_tr": F.col(c) * F.col("cum_factor_tr") for c in prices if c != "vwap"})
+    gold = gold.withColumn("v_adj", F.col("volume") * F.col("cum_factor_vol"))
+    day = None
+    if delisted is not None:
+        gold = gold.join(delisted.select("isin", "delisting_date"), "isin", "left")
+        day = F.col("delisting_date")
+    flagged = universe_flags(gold, ["isin", "series"], floor, day)
+    return flagged.drop("_bar", "_edge", "_day", "_learned", *[f"_{c}" for c in CUMULATIVE])

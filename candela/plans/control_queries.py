@@ -63,11 +63,12 @@ def chk_rowcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.row_count(counts, "1998-06-15")
 
 
-@query(GOLD + "SELECT user_id FROM gold g WHERE trade_date = (SELECT max(trade_date) FROM bars b WHERE b.user_id = g.user_id) AND abs(cum_factor - 1) > 1e-9")
+@query(GOLD + "SELECT user_id FROM gold g WHERE trade_date = (SELECT max(trade_date) FROM bars b WHERE b.user_id = g.user_id) AND (abs(cum_factor - 1) > 1e-9 OR user_id % 13 = 0)")
 def chk_right_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys whose last bar is adjusted; there must be none."""
+    """Keys whose last bar is adjusted: none but those with an injected fault."""
     gold = adjusted(analogs.bars(spark, sf_dir), analogs.priced_actions(spark, sf_dir))
-    return checks.right_edges(gold, "user_id").select("user_id")
+    broken = F.when(F.col("user_id") % 13 == 0, 1.01).otherwise(1.0)
+    return checks.right_edges(gold.withColumn("cum_factor", F.col("cum_factor") * broken), "user_id").select("user_id")
 
 
 FAULTY = EAP + """, factored AS (SELECT event_id, user_id, type, factor_price, CASE WHEN user_id % 29 = 0 THEN DATE '2023-12-01' ELSE ex_date END AS ex_date, symbol,
@@ -527,15 +528,14 @@ def mst_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("part_id", F.array_join(line, ",").alias("history"))
 
 
-@query(GOLD + """, moving AS (SELECT user_id, bool_or(cum_factor <> 1) AS moved, max(turnover) AS adv FROM gold GROUP BY user_id),
-ranked AS (SELECT user_id, row_number() OVER (ORDER BY user_id) AS n FROM moving WHERE moved)
-SELECT user_id, 'adjusted' AS why FROM ranked WHERE (n - 1) % 5 = 0 AND n <= 100""")
+@query(GOLD + """, moving AS (SELECT user_id, bool_or(cum_factor <> 1) AS moved, avg(turnover) AS adv FROM gold WHERE series IN ('EQ', 'SM') GROUP BY user_id)
+SELECT user_id, CASE WHEN moved THEN 'adjusted' ELSE 'volume' END AS why FROM moving ORDER BY moved DESC, round(adv, 4) DESC, user_id LIMIT 40""")
 def xck_symbol_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stride through the keys with factors, for a comparison with another source."""
-    gold = adjusted(analogs.bars(spark, sf_dir), analogs.priced_actions(spark, sf_dir))
-    moved = gold.groupBy("user_id").agg(F.bool_or(F.col("cum_factor") != 1).alias("moved")).filter("moved")
-    first = moved.orderBy("user_id").limit(100).withColumn("n", F.row_number().over(Window.orderBy("user_id")))
-    return first.filter("(n - 1) % 5 = 0").select("user_id", F.lit("adjusted").alias("why"))
+    """Keys for a comparison with another source: those with factors, topped up by volume."""
+    gold = adjusted(analogs.bars(spark, sf_dir), analogs.priced_actions(spark, sf_dir)).filter(F.col("series").isin("EQ", "SM"))
+    moving = gold.groupBy("user_id").agg(F.bool_or(F.col("cum_factor") != 1).alias("moved"), F.avg("turnover").alias("adv"))
+    top = moving.orderBy(F.desc("moved"), F.round("adv", 4).desc(), "user_id").limit(40)
+    return top.select("user_id", F.when(F.col("moved"), "adjusted").otherwise("volume").alias("why"))
 
 
 @query(GOLD + """, x AS (SELECT user_id, trade_date, c * cum_factor AS a, c * cum_factor * CASE WHEN user_id % 10 = 0 THEN 1 + 0.001 * day(trade_date) ELSE 1 END AS b FROM gold),

@@ -9,7 +9,7 @@ from candela.operators import links
 from candela.plans import analogs
 from candela.plans.panel_queries import r
 from candela.plans.registry import query
-from candela.plans.sql_tables import LINKS
+from candela.plans.sql_tables import ACTIONS, BARS, LINKS, PRICED, SPANS, SWITCHES, with_tables
 
 #: Accepted links, and where following them ends.
 WALK = """,
@@ -76,7 +76,8 @@ def link_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.histories(links.spans(analogs.bars(spark, sf_dir))).select("symbol", "chain")
 
 
-@query()
+@query(LINKS + """SELECT symbol, concat('[', string_agg(concat('{"first_seen":"', first_seen, '","isin":"', isin, '","last_seen":"', last_seen, '"}'), ',' ORDER BY first_seen, isin), ']') AS history
+FROM seen GROUP BY symbol""")
 def agg_json_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Identifier history as a JSON array."""
     return links.histories(links.spans(analogs.bars(spark, sf_dir))).select("symbol", "history")
@@ -91,3 +92,34 @@ def join_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     bars = analogs.bars(spark, sf_dir)
     joined = canonical(bars, links.terminal(links.edges(found_switches(spark, sf_dir))))
     return joined.select(F.col("isin").alias("isin_traded"), F.col("canonical_isin").alias("isin"), "trade_date", r("c"))
+
+
+def gold_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Bars, links and priced events, the events filed under the first identifier of a month."""
+    filed = F.concat(F.lit("INE"), F.lpad(F.col("user_id").cast("string"), 4, "0"), F.lit("01010"))
+    events = analogs.priced_actions(spark, sf_dir).withColumn("isin", filed)
+    return analogs.bars(spark, sf_dir), links.terminal(links.edges(found_switches(spark, sf_dir))), events
+
+
+@query(with_tables(BARS, ACTIONS, PRICED, SWITCHES, SPANS) + WALK + """, cb AS (SELECT b.*, coalesce(k.canonical_isin, b.isin) AS id FROM bars b LEFT JOIN canon k ON k.isin = b.isin WHERE series IN ('EQ', 'BE', 'SM')),
+filed AS (SELECT *, concat('INE', lpad(CAST(user_id AS VARCHAR), 4, '0'), '01010') AS isin FROM priced
+  WHERE learned_at <= TIMESTAMP '2024-01-25 00:00:00' AND state IN ('computed', 'not_applicable', 'skipped_s_gt_p')),
+known AS (SELECT f.*, coalesce(k.canonical_isin, f.isin) AS id, CASE WHEN type = 'DIVIDEND' THEN
+    CASE WHEN div_amount >= 0 AND anchor > 0 AND div_amount < anchor THEN (anchor - div_amount) / anchor ELSE 1.0::DOUBLE END
+  ELSE coalesce(factor_price, 1.0::DOUBLE) END AS factor_tr FROM filed f LEFT JOIN canon k ON k.isin = f.isin),
+live AS (SELECT known.* FROM known JOIN (SELECT id, max(trade_date) AS edge FROM cb GROUP BY id) USING (id) WHERE ex_date <= edge),
+made AS (SELECT cb.*, coalesce((SELECT product(x.factor_price) FROM live x WHERE x.id = cb.id AND x.ex_date > cb.trade_date), 1.0::DOUBLE) AS f,
+  coalesce((SELECT product(x.factor_vol) FROM live x WHERE x.id = cb.id AND x.ex_date > cb.trade_date), 1.0::DOUBLE) AS fv,
+  coalesce((SELECT product(x.factor_tr) FROM live x WHERE x.id = cb.id AND x.ex_date > cb.trade_date), 1.0::DOUBLE) AS ft,
+  (SELECT max(learned_at) FROM known x WHERE x.id = cb.id) AS factor_asof,
+  avg(turnover) OVER (PARTITION BY id, series ORDER BY trade_date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS adv FROM cb)
+SELECT id AS isin, isin AS isin_traded, trade_date, series, round(f, 9) AS cum_factor, round(c * f, 6) AS c_adj, round(volume * fv, 6) AS v_adj, round(c * ft, 6) AS c_tr, round(adv, 6) AS adv,
+series IN ('EQ', 'SM') AS is_tradeable, series IN ('EQ', 'SM') AND adv >= 100 AS in_universe, factor_asof FROM made""")
+def gold_materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold from raw bars: canonical identifiers, series, edge, factors known at a time, flags."""
+    from candela.operators.panel import materialise
+
+    bars, chains, events = gold_inputs(spark, sf_dir)
+    gold = materialise(bars, chains, events, as_of=F.lit("2024-01-25 00:00:00").cast("timestamp_ntz"), floor=100.0)
+    numbers = [r("cum_factor", 9), *[r(c, 6) for c in ("c_adj", "v_adj", "c_tr", "adv")]]
+    return gold.select("isin", "isin_traded", "trade_date", "series", *numbers, "is_tradeable", "in_universe", "factor_asof")

@@ -201,14 +201,16 @@ def day_norms(bars: DataFrame) -> DataFrame:
     return days.withColumns({"mean": F.avg("n").over(before), "spread": F.stddev_samp("n").over(before)})
 
 
-@query(L_ + """SELECT md5(string_agg(concat_ws('|', part_id, trade_date, series, volume), ';' ORDER BY part_id, trade_date, series)) AS fingerprint
-FROM part_bars WHERE part_id <= 100""")
+@query(L_ + """, parts AS (SELECT part_id, md5(string_agg(concat_ws('|', part_id, trade_date, series, volume), ';' ORDER BY trade_date, series)) AS m FROM part_bars GROUP BY part_id),
+blocks AS (SELECT part_id // 4096 AS block, md5(string_agg(m, ';' ORDER BY part_id)) AS m FROM parts GROUP BY 1)
+SELECT md5(string_agg(m, ';' ORDER BY block)) AS fingerprint FROM blocks""")
 def agg_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A fingerprint of a table's rows in order."""
-    rows = analogs.part_bars(spark, sf_dir).filter("part_id <= 100")
+    """A fingerprint of a whole table's rows in order: of each key's rows, of blocks of keys, of the blocks."""
+    in_order = lambda order, value: F.md5(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(*order, value.alias("_v")))), lambda x: x["_v"]), ";"))
     line = F.concat_ws("|", "part_id", "trade_date", "series", "volume")
-    ordered = F.sort_array(F.collect_list(F.struct("part_id", "trade_date", "series", line.alias("line"))))
-    return rows.agg(F.md5(F.array_join(F.transform(ordered, lambda x: x["line"]), ";")).alias("fingerprint"))
+    parts = analogs.part_bars(spark, sf_dir).groupBy("part_id").agg(in_order(["trade_date", "series"], line).alias("m"))
+    blocks = parts.groupBy(F.floor(F.col("part_id") / 4096).alias("block")).agg(in_order(["part_id"], F.col("m")).alias("m"))
+    return blocks.agg(in_order(["block"], F.col("m")).alias("fingerprint"))
 
 
 @query(E_ + """SELECT series, round(100.0 * count(prev_close) / count(*), 6) AS prev_close_pct, round(avg(CASE WHEN prev_close IS NULL THEN 1.0 ELSE 0.0 END), 8) AS null_share

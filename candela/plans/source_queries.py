@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candela.operators.storage import shared_folder
 from candela.plans import analogs
 from candela.plans.registry import query
 from candela.plans.sql_tables import E_
@@ -66,7 +67,39 @@ def src_assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("trade_date", "isin", "series", F.round("vwap", 4).alias("vwap"), "deliv_qty", "price_band")
 
 
-@query()
+@query(E_ + "SELECT trade_date, symbol, series, round(turnover / volume, 6) AS vwap, volume AS deliv_qty, CAST(NULL AS DOUBLE) AS deliv_pct FROM bars")
+def src_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The delivery file, written to storage as CSV and read back; each row stands there twice."""
+    raw = analogs.bars(spark, sf_dir).select(
+        F.concat(F.lower("symbol"), F.lit(" ")).alias("SYMBOL"), F.col("series").alias(" SERIES"), F.date_format("trade_date", "dd-MMM-yyyy").alias(" DATE1"),
+        F.format_string(" %.8f", F.col("turnover") / F.col("volume")).alias(" AVG_PRICE"), F.col("volume").cast("string").alias(" DELIV_QTY"), F.lit(" -").alias(" DELIV_PER"),
+    )
+    out = bar_files.delivery(through_csv(raw.unionByName(raw)))
+    return out.withColumn("vwap", F.round("vwap", 6))
+
+
+@query("SELECT 'SYM' || p_partkey AS symbol, CASE WHEN p_partkey % 2 = 0 THEN 'BE' ELSE 'EQ' END AS series, CASE WHEN p_size > 25 THEN 'No Band' ELSE CAST(p_size AS VARCHAR) END AS price_band, CASE WHEN p_size > 25 THEN 'F, O' END AS band_remarks FROM part")
+def src_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The price-band file, written to storage as CSV, with a comma in a quoted field."""
+    key, wide = F.col("p_partkey"), F.col("p_size") > 25
+    raw = analogs.table(spark, sf_dir, "part").select(
+        F.concat(F.lit("sym"), key.cast("string")).alias("Symbol"), F.when(key % 2 == 0, " be").otherwise("EQ").alias(" Series"),
+        F.when(wide, "No Band").otherwise(F.col("p_size").cast("string")).alias(" Band"), F.when(wide, "F, O").alias(" Remarks"),
+    )
+    return bar_files.bands(through_csv(raw))
+
+
+def through_csv(raw: DataFrame) -> DataFrame:
+    """The rows after a way through CSV files in the shared folder."""
+    spark = raw.sparkSession
+    path = shared_folder(spark)
+    raw.write.option("header", True).csv(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return bar_files.read_csv(spark, path)
+
+
+@query("SELECT 'INE' || p_partkey AS isin, 'SYM' || p_partkey AS symbol, trim(p_name) AS name, 'EQ' AS series, DATE '2008-10-06' AS listing_date, CAST(p_size AS DOUBLE) AS face_value FROM part")
 def src_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The listing file."""
     parts = analogs.table(spark, sf_dir, "part")
@@ -74,7 +107,7 @@ def src_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("sym"), F.col("p_partkey").cast("string")).alias("SYMBOL"), F.col("p_name").alias("NAME OF COMPANY"), F.lit("EQ").alias("SERIES"),
         F.lit("06-OCT-2008").alias("DATE OF LISTING"), F.concat(F.lit("ine"), F.col("p_partkey").cast("string")).alias("ISIN NUMBER"), F.col("p_size").cast("string").alias("FACE VALUE"),
     )
-    return bar_files.listing(raw)
+    return bar_files.listing(through_csv(raw))
 
 
 INDEX_FILE = """Index Name,Index Date,Open,High,Low,Close,Points Change,Change(%),Volume,Turnover,P/E,P/B,Div Yield
@@ -84,10 +117,14 @@ Nifty 50,01-09-2026,24077.55,24143.15,23952.55,24055.8,-24.6,-.1,334207690,27996
 short,01-09-2026,1"""
 
 
-@query()
+@query("""SELECT DATE '2026-09-01' AS trade_date, * FROM (VALUES
+('INDIA VIX', 11.19::DOUBLE, 12.1225::DOUBLE, 9.2475::DOUBLE, 11.49::DOUBLE, CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE)),
+('NIFTY 50', 24077.55, 24143.15, 23952.55, 24055.8, 334207690, 20.34)) t(index_key, o, h, l, c, volume, pe)""")
 def src_index_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An index file, typed."""
-    return feeds.index_silver(feeds.index_rows(spark, INDEX_FILE), date(2026, 9, 1))
+    rows = feeds.index_silver(feeds.index_rows(spark, INDEX_FILE), date(2026, 9, 1))
+    taken = zip(("open", "high", "low", "close", "volume", "pe"), ("o", "h", "l", "c", "volume", "pe"), strict=True)
+    return rows.select("trade_date", "index_key", *[F.col(a).alias(b) for a, b in taken])
 
 
 @query("SELECT count(DISTINCT o_orderpriority)::BIGINT AS announcements, count(DISTINCT o_orderpriority)::BIGINT AS typed FROM orders")

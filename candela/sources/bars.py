@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -76,7 +77,7 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def csv_rows(spark: SparkSession, text: str) -> DataFrame:
     """The same from text that is at hand."""
-    rows = [[cell.strip() for cell in line.split(",")] for line in text.strip().splitlines()]
+    rows = [[cell.strip() for cell in line] for line in csv.reader(text.strip().splitlines(), skipinitialspace=True)]
     names, width = rows[0], len(rows[0])
     schema = ", ".join(f"`{n or f'_c{k}'}` string" for k, n in enumerate(names))
     cells = [tuple((row + [None] * width)[:width]) for row in rows[1:]]

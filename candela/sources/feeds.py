@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from datetime import date
@@ -78,7 +79,7 @@ def mapped(raw: DataFrame) -> DataFrame:
 
 def index_rows(spark: SparkSession, text: str) -> DataFrame:
     """The rows of an index file as text, with a hash of their cells; short and nameless rows are left out."""
-    lines = [line.split(",") for line in text.strip().splitlines()]
+    lines = list(csv.reader(text.strip().splitlines(), skipinitialspace=True))
     if [c.strip().lower() for c in lines[0][:2]] != ["index name", "index date"]:
         raise FormatError(f"not an index file: {','.join(lines[0])[:80]!r}")
     width = len(INDEX_COLUMNS)
