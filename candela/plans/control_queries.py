@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candela.functions import scalars
-from candela.operators import calendar, checks, ingest, master, operations, quality, review, storage
+from candela.operators import calendar, checks, crosscheck, ingest, master, operations, quality, review, storage
 from candela.operators.links import one_per_day
 from candela.operators.panel import adjusted, multiplying, universe_flags
 from candela.plans import analogs
@@ -554,6 +554,27 @@ def xck_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("user_id", "n", F.round("g", 8).alias("median_gap"), verdict.alias("verdict"))
 
 
+@query(GOLD + """, both_ AS (SELECT user_id, trade_date, c, c * cum_factor AS a, c * cum_factor_tr AS t, cum_factor, cum_factor_tr,
+  c * cum_factor * CASE WHEN user_id % 10 = 0 THEN 1 + 0.01 * (day(trade_date) % 3) WHEN user_id % 10 = 1 THEN 1.02 ELSE 1 END AS close,
+  c * cum_factor_tr * CASE WHEN user_id % 10 = 2 THEN 1 + 0.02 * (day(trade_date) % 2) ELSE 1 END AS adjclose FROM gold),
+gaps AS (SELECT user_id, CASE WHEN abs(cum_factor - 1) < 1e-9 AND abs(cum_factor_tr - 1) < 1e-9 AND close > 0 THEN abs(c - close) / close END AS lv,
+  abs(a / nullif(lag(a) OVER w, 0) - close / nullif(lag(close) OVER w, 0)) AS pr, abs(t / nullif(lag(t) OVER w, 0) - adjclose / nullif(lag(adjclose) OVER w, 0)) AS tt
+  FROM both_ WINDOW w AS (PARTITION BY user_id ORDER BY trade_date)),
+n AS (SELECT user_id, count(*) AS bars, count(lv) AS ln, count(pr) AS pn, count(tt) AS tn, count(*) FILTER (WHERE lv > 0.0025) AS lb, count(*) FILTER (WHERE pr > 0.005) AS pb, count(*) FILTER (WHERE tt > 0.005) AS tb FROM gaps GROUP BY user_id)
+SELECT user_id, CAST(bars AS BIGINT) AS bars, CAST(lb AS BIGINT) AS level_bad, CAST(pb AS BIGINT) AS price_bad, CAST(tb AS BIGINT) AS total_bad,
+CASE WHEN bars < 8 THEN 'skip' WHEN lb > greatest(2, 0.02 * greatest(ln, 1)) THEN 'RAW_MISMATCH' WHEN pb > greatest(2, 0.02 * greatest(pn, 1)) THEN 'ADJ_MISMATCH'
+WHEN tb > greatest(3, 0.03 * greatest(tn, 1)) THEN 'TR_MISMATCH' WHEN lb + pb + tb > 0 THEN 'minor' ELSE 'ok' END AS status FROM n""")
+def xck_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Levels, price returns and total returns against another provider, with injected differences."""
+    gold = adjusted(analogs.bars(spark, sf_dir), analogs.priced_actions(spark, sf_dir))
+    last, day = F.col("user_id") % 10, F.dayofmonth("trade_date")
+    close = F.col("c_adj") * F.when(last == 0, 1 + 0.01 * (day % 3)).when(last == 1, 1.02).otherwise(1.0)
+    adjclose = F.col("c_tr") * F.when(last == 2, 1 + 0.02 * (day % 2)).otherwise(1.0)
+    theirs = gold.select("user_id", "trade_date", close.alias("close"), adjclose.alias("adjclose"))
+    out = crosscheck.compared(gold, theirs, "user_id", shared=8)
+    return out.select("user_id", "bars", "level_bad", "price_bad", "total_bad", "status")
+
+
 @query(P_ + """SELECT CAST(count(*) AS BIGINT) AS open_items, CAST(count(*) FILTER (WHERE tmpl = 7) AS BIGINT) AS high FROM purposes WHERE tmpl = 7""")
 def chk_unparsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Open items of the parser, and how many are urgent."""
