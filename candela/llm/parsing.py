@@ -37,6 +37,8 @@ BINS = 64
 LEVELS = 2
 #: Documents in a range of doc_id, on average.
 RANGE_ROWS = 500
+#: Rows of a task, about.
+TASK_ROWS = 8_000
 MOST_RANGES = 20_000
 GOLDEN, MIX_A, MIX_B = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -137,7 +139,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     """
     lowest = -(1 << 63)
     keys = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(lowest)).alias("key"))
-    n = max(1, min(MOST_RANGES, keys.count() // RANGE_ROWS))
+    total = keys.count()
+    n = max(1, min(MOST_RANGES, total // RANGE_ROWS))
+    tasks = max(1, min(n, -(-total // TASK_ROWS)))  # follows the rows, whatever the session's number of partitions
     cuts = keys.approxQuantile("key", [k / n for k in range(1, n)], 0.2 / n) if n > 1 else []
     bounds = np.array(sorted({int(c) for c in cuts}), "int64")
 
@@ -170,7 +174,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     schema = ", ".join(
         ["part bigint", "extra boolean", "key bigint", f"doc_id {docs.schema['doc_id'].dataType.simpleString()}", "text string"]
     )
-    dealt = arrow(wide, deal, schema).repartition("part")
+    dealt = arrow(wide, deal, schema).repartition(tasks, "part")
     return dealt.sortWithinPartitions("part", "extra", "key", "text").select("part", "extra", "doc_id", "text")
 
 
