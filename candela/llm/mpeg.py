@@ -1,4 +1,4 @@
-"""Media column: MPEG-1 Layer III audio streams that carry bytes losslessly.
+"""Media column: MPEG audio streams; Layer III streams are written that carry bytes losslessly.
 
 ``compose`` makes a stream: an ID3v2 tag, a header frame with a variable-
 bitrate table, then silent frames whose ancillary area holds the payload. Each
@@ -6,10 +6,12 @@ payload frame has a CRC-16 over its header and side information; the header
 frame has a CRC-16 over all later frames and one over itself. The last frame
 uses the smallest bitrate that fits, so the stream is of variable bitrate.
 
-``parse`` reads any stream of Layer III frames: it skips and parses the tag,
-resynchronises on frame headers that are confirmed by the next header or the
-end, parses the table, verifies all checksums, and gives the exact duration
-and each frame's offset.
+``parse`` reads streams of MPEG-1, 2 and 2.5 in Layers I, II and III: it parses
+tags in front (ID3v2.2 to 2.4) and behind (ID3v1, APEv2), resynchronises on
+frame headers that are confirmed by a like header after them or the end,
+parses Xing, Info and VBRI tables, verifies all checksums, and gives the exact
+duration and each frame's offset. Frames of free bitrate state no size and are
+skipped like foreign bytes.
 
 Defined cases: a null text is an empty one, whose payload is 64 zero bytes;
 equal texts give equal streams; an empty table gives no rows; damaged or
@@ -23,7 +25,9 @@ import hashlib
 import struct
 import zlib
 from dataclasses import dataclass, field
+from fractions import Fraction
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +35,17 @@ from pyspark.sql import DataFrame
 
 from candela.llm.common import map_batches
 
-# Fixed values of the format: kbit/s by index for MPEG-1 Layer III, Hz by index, samples of a frame.
+# Fixed values of the format: kbit/s by index for MPEG-1 Layer III, and for the other versions and layers;
+# Hz by index; subbands and bits of their allocations in Layer II.
 BITRATES = (0, 32, 40, 48, 56, 64, 80, 96, 112, 128, 160, 192, 224, 256, 320)
+BITRATES_1_1 = (0, 32, 64, 96, 128, 160, 192, 224, 256, 288, 320, 352, 384, 416, 448)
+BITRATES_1_2 = (0, 32, 48, 56, 64, 80, 96, 112, 128, 160, 192, 224, 256, 320, 384)
+BITRATES_2_1 = (0, 32, 48, 56, 64, 80, 96, 112, 128, 144, 160, 176, 192, 224, 256)
+BITRATES_2 = (0, 8, 16, 24, 32, 40, 48, 56, 64, 80, 96, 112, 128, 144, 160)
 SAMPLE_RATES = (44100, 48000, 32000)
-FRAME_SAMPLES = 1152
+ALLOCATION_HIGH = ((11, 4), (12, 3), (7, 2))
+ALLOCATION_LOW = ((2, 4), (10, 3))
+ALLOCATION_2 = ((4, 4), (7, 3), (19, 2))
 #: Written streams: 48 kHz mono; header, CRC and side information of a frame.
 RATE_INDEX = 1
 LEAD = 4 + 2 + 17
@@ -167,107 +178,279 @@ def compose(payloads: list[bytes]) -> list[bytes]:
     ]
 
 
+class Header(NamedTuple):
+    """What the four bytes of a frame header say."""
+
+    version: str  # "1", "2" or "2.5"
+    layer: int
+    rate: int
+    kbps: int
+    mode: int  # 3: one channel, 1: joint stereo
+    extension: int
+    guarded: bool  # a CRC follows
+    size: int  # of the frame, in bytes
+    samples: int
+
+    @property
+    def kind(self) -> tuple[str, int, int]:
+        """What does not change within a stream."""
+        return self[:3]
+
+    @property
+    def side(self) -> int:
+        """Bytes of side information; Layer III only."""
+        if self.layer != 3:
+            return 0
+        one, two = (17, 32) if self.version == "1" else (9, 17)
+        return one if self.mode == 3 else two
+
+    @property
+    def bound(self) -> int:
+        """The subband from which on the channels of Layers I and II share allocations."""
+        return 4 * (self.extension + 1) if self.mode == 1 else 32
+
+
+def _header(data: bytes, at: int) -> Header | None:
+    """The frame header that stands there, if one does."""
+    if at + 4 > len(data) or data[at] != 0xFF or data[at + 1] < 0xE0:
+        return None
+    return _decoded(data[at + 1], data[at + 2], data[at + 3])
+
+
+@lru_cache(65536)
+def _decoded(second: int, third: int, fourth: int) -> Header | None:
+    version = {0: "2.5", 2: "2", 3: "1"}.get(second >> 3 & 3)
+    layer, index, rate = 4 - (second >> 1 & 3), third >> 4, third >> 2 & 3
+    if version is None or layer == 4 or index in (0, 15) or rate == 3 or fourth & 3 == 2:
+        return None
+    hz = SAMPLE_RATES[rate] // {"1": 1, "2": 2, "2.5": 4}[version]
+    if version == "1":
+        kbps = (BITRATES_1_1, BITRATES_1_2, BITRATES)[layer - 1][index]
+    else:
+        kbps = (BITRATES_2_1, BITRATES_2, BITRATES_2)[layer - 1][index]
+    samples = 384 if layer == 1 else 576 if layer == 3 and version != "1" else 1152
+    slot = 4 if layer == 1 else 1  # bytes that padding adds
+    size = (samples // 8 // slot * kbps * 1000 // hz + (third >> 1 & 1)) * slot
+    return Header(version, layer, hz, kbps, fourth >> 6, fourth >> 4 & 3, not second & 1, size, samples)
+
+
+def allocations(head: Header) -> list[int]:
+    """Bits of each subband's allocation in Layer II."""
+    if head.version != "1":
+        groups, most = ALLOCATION_2, 30
+    else:
+        each = head.kbps if head.mode == 3 else head.kbps // 2
+        if each < 56:
+            groups, most = ALLOCATION_LOW, 12 if head.rate == 32000 else 8
+        else:
+            groups, most = ALLOCATION_HIGH, 30 if each >= 96 and head.rate != 48000 else 27
+    return [bits for n, bits in groups for _ in range(n)][:most]
+
+
+def guarded_bits(head: Header, frame: bytes) -> tuple[bytes, int]:
+    """What a frame's CRC covers: bytes from the header's third on without the CRC itself, and how many of their bits."""
+    rest, channels = frame[6:], 1 if head.mode == 3 else 2
+    if head.layer == 3:
+        bits = 8 * head.side
+    elif head.layer == 1:
+        bits = 4 * (min(32, head.bound) * channels + 32 - head.bound)
+    else:
+        number, width = int.from_bytes(rest[:64].ljust(64, b"\0"), "big"), 512
+        bits = chosen = 0
+        for band, n in enumerate(allocations(head)):
+            own = channels if band < head.bound else 1
+            for _ in range(own):
+                bits += n
+                # an allocation that both channels share selects scale factors for both
+                chosen += (number >> (width - bits) & (1 << n) - 1 > 0) * (channels if own == 1 else 1)
+        bits += 2 * chosen
+    return frame[2:4] + rest[: -(-bits // 8)], 16 + bits
+
+
+def frame_is_whole(head: Header, frame: bytes) -> bool:
+    """Whether a guarded frame's CRC is what its bits give."""
+    covered, bits = guarded_bits(head, frame)
+    whole = bits // 8
+    crc = frame_crc(covered[:whole])
+    for k in range(bits % 8):
+        crc = (crc << 1 & 0xFFFF) ^ (0x8005 if (crc >> 15) ^ (covered[whole] >> (7 - k) & 1) else 0)
+    return crc == frame[4] << 8 | frame[5]
+
+
 @dataclass
 class Parsed:
     tags: dict[str, str] = field(default_factory=dict)
+    version: str = ""  # of the first frame
+    layer: int = 0
     offsets: list[int] = field(default_factory=list)  # of audio frames
     sizes: list[int] = field(default_factory=list)
-    samples: int = 0
-    rate: int = 0
-    skipped: int = 0  # bytes that belong to no frame
+    by_rate: dict[int, int] = field(default_factory=dict)  # samples
+    rate: int = 0  # of the last frame
+    skipped: int = 0  # bytes that belong to no frame and no tag
     frame_crc_good: int = 0
     frame_crc_bad: int = 0
     table_frames: int | None = None
     table_bytes: int | None = None
     toc: bytes = b""
+    seek: list[int] = field(default_factory=list)  # bytes of each entry of a VBRI table
     stream_crc_good: bool | None = None
     table_crc_good: bool | None = None
     payload: bytes = b""
     stated: tuple[bytes, int, int] | None = None  # checked part of the table, its checksum, the stream's
+    end: int = 0  # of the audio, where tags begin that stand behind it
+
+    @property
+    def samples(self) -> int:
+        return sum(self.by_rate.values())
+
+    @property
+    def seconds(self) -> Fraction:
+        return sum((Fraction(n, rate) for rate, n in self.by_rate.items()), Fraction(0))
 
     @property
     def duration(self) -> float:
-        return self.samples / self.rate if self.rate else 0.0
+        return float(self.seconds)
 
 
-def _header(data: bytes, at: int) -> tuple[int, int, bool, int] | None:
-    """Frame size, sample rate, whether a CRC follows, bytes of side information; None if this is no header."""
-    if at + 4 > len(data) or data[at] != 0xFF or data[at + 1] & 0xFE != 0xFA:
-        return None
-    found = _decoded(data[at + 1], data[at + 2], data[at + 3] >> 6)
-    return found
+def _synchsafe(data: bytes) -> int:
+    """Seven bits of each byte."""
+    out = 0
+    for byte in data:
+        out = out << 7 | byte & 127
+    return out
 
 
-@lru_cache(4096)
-def _decoded(second: int, third: int, mode: int) -> tuple[int, int, bool, int] | None:
-    bitrate, rate = third >> 4, third >> 2 & 3
-    if bitrate in (0, 15) or rate == 3:
-        return None
-    hz = SAMPLE_RATES[rate]
-    return frame_size(BITRATES[bitrate], hz, third >> 1 & 1), hz, not second & 1, 17 if mode == 3 else 32
+def _text(data: bytes) -> list[str]:
+    """The strings of a tag's text entry, by its encoding byte."""
+    name = {0: "latin-1", 1: "utf-16", 2: "utf-16-be", 3: "utf-8"}.get(data[0], "latin-1") if data else "latin-1"
+    # every string of UTF-16 may begin with its own byte order mark
+    return [part.strip("\ufeff") for part in data[1:].decode(name, "replace").split("\0")]
 
 
 def _tags(data: bytes) -> tuple[dict[str, str], int]:
-    """User text entries of an ID3v2.3 tag, and where the tag ends."""
+    """Text entries of an ID3v2 tag in front, user entries by their description, and where the tag ends."""
     if data[:3] != b"ID3" or len(data) < 10:
         return {}, 0
-    end = 10 + (data[6] << 21 | data[7] << 14 | data[8] << 7 | data[9])
-    found, at = {}, 10
-    while at + 10 <= min(end, len(data)) and data[at] != 0:
-        (n,) = struct.unpack(">I", data[at + 4 : at + 8])
-        if data[at : at + 4] == b"TXXX":
-            name, _, value = data[at + 11 : at + 10 + n].partition(b"\0")
-            found[name.decode("latin-1")] = value.decode("latin-1")
-        at += 10 + n
+    version, flags = data[3], data[5]
+    end = 10 + _synchsafe(data[6:10])
+    body = data[10:end]
+    if flags & 0x80 and version < 4:
+        body = body.replace(b"\xff\0", b"\xff")
+    found, at = {}, 0
+    if flags & 0x40 and version >= 3 and len(body) >= 4:
+        at = _synchsafe(body[:4]) if version >= 4 else 4 + int.from_bytes(body[:4], "big")
+    lead, name_size = (6, 3) if version == 2 else (10, 4)
+    while at + lead <= len(body) and body[at] != 0:
+        name, size = body[at : at + name_size].decode("latin-1"), body[at + name_size : at + 2 * name_size]
+        n = _synchsafe(size) if version >= 4 else int.from_bytes(size, "big")
+        value = body[at + lead : at + lead + n]
+        if version >= 4:
+            if body[at + 9] & 1:  # four bytes of length come first
+                value = value[4:]
+            if body[at + 9] & 2 or flags & 0x80:
+                value = value.replace(b"\xff\0", b"\xff")
+        if name in ("TXXX", "TXX"):
+            key, *rest = _text(value)
+            found[key] = rest[0] if rest else ""
+        elif name.startswith("T"):
+            found[name] = _text(value)[0]
+        at += lead + n
+    return found, end + 10 * (version >= 4 and flags & 0x10 > 0)
+
+
+def _tags_behind(data: bytes, start: int) -> tuple[dict[str, str], int]:
+    """Entries of ID3v1 and APEv2 tags at the end, and where the first of them begins."""
+    found, end = {}, len(data)
+    if end - 128 >= start and data[end - 128 : end - 125] == b"TAG":
+        end -= 128
+        for name, at, n in (("title", 3, 30), ("artist", 33, 30), ("album", 63, 30), ("year", 93, 4), ("comment", 97, 30)):
+            found[name] = data[end + at : end + at + n].split(b"\0")[0].rstrip().decode("latin-1")
+    if end - 32 >= start and data[end - 32 : end - 24] == b"APETAGEX":
+        _, size, count, flags = struct.unpack("<IIII", data[end - 24 : end - 8])
+        at = end - size
+        if start <= at <= end - 32:
+            stop, end = end - 32, at - 32 * (flags >> 31)
+            for _ in range(count):
+                if at + 8 > stop:
+                    break
+                n, item = struct.unpack("<II", data[at : at + 8])
+                key, _, _ = data[at + 8 : stop].partition(b"\0")
+                at += 9 + len(key)
+                if item >> 1 & 3 == 0:  # text
+                    found[key.decode("latin-1")] = data[at : at + n].decode("utf-8", "replace")
+                at += n
+            end = max(end, start)
     return found, end
 
 
 def _parse(data: bytes) -> Parsed:
     """What a stream holds, but for the checksums that the table states."""
     out = Parsed()
-    out.tags, at = _tags(data)
+    front, at = _tags(data)
+    behind, n = _tags_behind(data, min(at, len(data)))
+    out.tags, out.end = {**behind, **front}, n
     bodies: list[bytes] = []
-    first, synced = True, False
-    n = len(data)
+    first, synced = True, None  # the kind of the frame that ends here
     while at + 4 <= n:
         head = _header(data, at)
         if head is not None:
-            size, rate, guarded, side = head
-            if at + size > n or not synced and at + size < n and _header(data, at + size) is None:
+            stop = at + head.size
+            if stop > n:
                 head = None
+            elif head.kind != synced and stop < n:
+                following = _header(data, stop)
+                if following is None or following.kind != head.kind:
+                    head = None
         if head is None:
             following = data.find(b"\xff", at + 1)
-            following = n if following < 0 else following
+            following = n if following < 0 else min(following, n)
             out.skipped += following - at
-            at, synced = following, False
+            at, synced = following, None
             continue
-        synced = True
-        body = at + 4 + 2 * guarded + side
-        if first and data[body : body + 4] in (b"Xing", b"Info"):
-            _table(out, data, at, body)
+        synced = head.kind
+        body = at + 4 + 2 * head.guarded + head.side
+        if first:
+            out.version, out.layer = head.version, head.layer
+        if first and head.layer == 3 and data[body : body + 4] in (b"Xing", b"Info"):
+            _table(out, data[:stop], at, body)
+        elif first and head.layer == 3 and data[at + 36 : at + 40] == b"VBRI":
+            _sums(out, data[at + 40 : stop])
         else:
-            if guarded:
-                good = frame_crc(data[at + 2 : at + 4] + data[at + 6 : body]) == data[at + 4] << 8 | data[at + 5]
+            if head.guarded:
+                good = frame_is_whole(head, data[at:stop])
                 out.frame_crc_good += good
                 out.frame_crc_bad += not good
             out.offsets.append(at)
-            out.sizes.append(size)
-            out.samples += FRAME_SAMPLES
-            bodies.append(data[body : at + size])
-        out.rate = rate
+            out.sizes.append(head.size)
+            out.by_rate[head.rate] = out.by_rate.get(head.rate, 0) + head.samples
+            bodies.append(data[body:stop])
+        out.rate = head.rate
         first = False
-        at += size
-    out.skipped += n - at
+        at = stop
+    out.skipped += max(0, n - at)
     out.payload = b"".join(bodies)
     if (stated := out.tags.get("payload_bytes", "")).isdigit():
         out.payload = out.payload[: int(stated)]
     return out
 
 
+def _sums(out: Parsed, table: bytes) -> None:
+    """Reads a VBRI table, which states the bytes of equal numbers of frames."""
+    if len(table) < 22:
+        return
+    out.table_bytes, out.table_frames, entries, scale, width = struct.unpack(">IIHHH", table[6:20])
+    places = range(22, 22 + entries * width, width) if width else ()
+    out.seek = [scale * int.from_bytes(table[k : k + width], "big") for k in places if k + width <= len(table)]
+
+
 def _table(out: Parsed, data: bytes, start: int, at: int) -> None:
-    """Reads the variable-bitrate table of the header frame."""
+    """Reads the variable-bitrate table of the header frame; a table that is cut short is left out."""
+    if at + 8 > len(data):
+        return
     (flags,) = struct.unpack(">I", data[at + 4 : at + 8])
     at += 8
+    if at + 4 * (flags & 1) + 2 * (flags & 2) + 25 * (flags & 4) + (flags >> 1 & 4) > len(data):
+        return
     if flags & 1:
         (out.table_frames,) = struct.unpack(">I", data[at : at + 4])
         at += 4
@@ -279,7 +462,7 @@ def _table(out: Parsed, data: bytes, start: int, at: int) -> None:
         at += 100
     if flags & 8:
         at += 4
-    if data[at : at + 4] == b"LAME":
+    if data[at : at + 4] == b"LAME" and at + 36 <= len(data):
         out.stated = data[start : at + 34], *struct.unpack(">HH", data[at + 34 : at + 36] + data[at + 32 : at + 34])
 
 
@@ -287,7 +470,7 @@ def parse_all(streams: list[bytes]) -> list[Parsed]:
     """Every stream parsed, with the stated checksums of stream and table verified."""
     found = [_parse(s) for s in streams]
     stating = [(s, p) for s, p in zip(streams, found, strict=True) if p.stated]
-    audio = stream_crcs([s[p.offsets[0] :] if p.offsets else b"" for s, p in stating])
+    audio = stream_crcs([s[p.offsets[0] : p.end] if p.offsets else b"" for s, p in stating])
     tables = stream_crcs([p.stated[0] for _, p in stating])
     for (_, p), of_audio, of_table in zip(stating, audio, tables, strict=True):
         p.table_crc_good, p.stream_crc_good = of_table == p.stated[1], of_audio == p.stated[2]
@@ -301,9 +484,9 @@ def parse(data: bytes) -> Parsed:
 def feature(p: Parsed) -> str:
     """Exact duration, counts and checks in one string."""
     checks = p.frame_crc_bad == 0 and p.table_crc_good is not False and p.stream_crc_good is not False
-    kbps = 8 * sum(p.sizes) * p.rate // (1000 * p.samples) if p.samples else 0
+    kbps = int(8 * sum(p.sizes) / (1000 * p.seconds)) if p.samples else 0
     return (
-        f"mpeg1-layer3;hz={p.rate};frames={len(p.offsets)};samples={p.samples};us={p.samples * 1_000_000 // max(p.rate, 1)};"
+        f"mpeg{p.version}-layer{p.layer};hz={p.rate};frames={len(p.offsets)};samples={p.samples};us={int(p.seconds * 1_000_000)};"
         f"kbps={kbps};table_frames={p.table_frames};toc={p.toc.hex()};skipped={p.skipped};checks={'ok' if checks else 'bad'}"
     )
 
