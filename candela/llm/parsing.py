@@ -12,17 +12,20 @@ Jaccard similarity.
 
 Edits pair each document with the next one in order of doc_id. Documents are
 dealt into ranges of doc_id by bounds from quantiles; each range also gets a
-copy of the first row of the next one, so no global sort is needed.
+copy of the first row of the next one, so no global sort is needed. An id (or
+the lack of one) that fills several ranges is split by a hash of the text.
 
 Defined cases: a null text is an empty one; an empty text has the fingerprint
 of zeros, and two of these have likeness 1; rows with equal doc_id are ordered
-by text, null ids come first; one row is its own next; an empty table gives no
-rows; other columns are not read.
+by a hash of the text, then by text, null ids come first; one row is its own
+next; rows equal in id and text stay in one range, which is read as a stream;
+an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -130,52 +133,94 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
+class Bounds:
+    """Where ranges of (key, tie) begin; ranges end within a key only if it fills several of them."""
+
+    def __init__(self, keys: np.ndarray, split: dict[int, int]) -> None:
+        self.keys = keys  # ascending; a range begins at each
+        self.split = split  # into how many ranges a key's rows go
+        sizes = np.array([split.get(k, 1) for k in keys.tolist()], "int64")
+        # number of the first range of each key; range 0 lies before all keys
+        self.first = np.concatenate([[0], 1 + np.cumsum(sizes) - sizes]).astype("int64")
+
+    @classmethod
+    def of(cls, cuts: list[int], split: dict[int, int]) -> Bounds:
+        """From quantiles, and from the keys that get several ranges of their own."""
+        limits = {k + 1 for k in split if k < (1 << 63) - 1}
+        return cls(np.array(sorted(limits.union(cuts, split)), "int64"), split)
+
+    def part(self, keys: np.ndarray, ties: np.ndarray) -> np.ndarray:
+        """The range of each row; ties are spread evenly, being hashes."""
+        out = self.first[np.searchsorted(self.keys, keys, "right")]
+        for k in np.unique(keys).tolist() if self.split else ():
+            if (m := self.split.get(k, 1)) > 1:
+                own = np.flatnonzero(keys == k)
+                share = (ties[own] >> 32) + (1 << 31)  # the tie's upper half, from 0
+                out[own] += share * m >> 32
+        return out
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """part, extra, doc_id, text: sorted partitions in which each row's next document follows it.
 
     A row with ``extra`` is the first of the part that comes next, there only
-    to be looked at. What is kept in the driver is a bound and a first key for
-    each of at most MOST_RANGES parts.
+    to be looked at. What is kept in the driver is a bound and a first row's key
+    and tie for each part, of which there are at most two for each of MOST_RANGES.
     """
     lowest = -(1 << 63)
-    keys = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(lowest)).alias("key"))
-    total = keys.count()
+    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(lowest)).alias("key")
+    tie = F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie")
+    total = docs.count()
     n = max(1, min(MOST_RANGES, total // RANGE_ROWS))
     tasks = max(1, min(n, -(-total // TASK_ROWS)))  # follows the rows, whatever the session's number of partitions
-    cuts = keys.approxQuantile("key", [k / n for k in range(1, n)], 0.2 / n) if n > 1 else []
-    bounds = np.array(sorted({int(c) for c in cuts}), "int64")
-
-    def first_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    cuts = docs.select(key).approxQuantile("key", [k / n for k in range(1, n)], 0.2 / n) if n > 1 else []
+    # quantiles are doubles, so a hot key is looked up; of keys with so many rows there are at most n
+    hot = [c for c, times in Counter(cuts).items() if times > 1]
+    counts = docs.select(key).filter(F.col("key").cast("double").isin(hot)).groupBy("key").count()
+    counts = counts.filter(F.col("count") >= 2 * (total // n)).collect() if hot else []
+    split = {r["key"]: r["count"] * n // total for r in counts}
+    bounds = Bounds.of([min(int(c), (1 << 63) - 1) for c in cuts], split)
+
+    def first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key = np.asarray(batch.column(0))
-            part = np.searchsorted(bounds, key, "right")
-            order = np.lexsort((key, part))
-            heads = order[np.concatenate([[True], np.diff(part[order]) > 0])] if len(key) else order
-            yield pa.RecordBatch.from_arrays([pa.array(part[heads]), pa.array(key[heads])], ["part", "key"])
-
-    found = arrow(keys, first_keys, "part bigint, key bigint").groupBy("part").agg(F.min("key").alias("key")).collect()
-    found = sorted((r["part"], r["key"]) for r in found)
-    # the first key of each part, and the part before it (the last, for the first)
-    before = {key: found[k - 1][0] for k, (_, key) in enumerate(found)}
-    firsts = np.array([key for _, key in found], "int64")
+            keys, ties = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            part = bounds.part(keys, ties)
+            order = np.lexsort((ties, keys, part))
+            heads = order[np.concatenate([[True], np.diff(part[order]) > 0])] if len(keys) else order
+            yield pa.RecordBatch.from_arrays([pa.array(x[heads]) for x in (part, keys, ties)], ["part", "key", "tie"])
+
+    # the text is read only where an id is split; elsewhere all rows of a range's first id are copied
+    seen = docs.select(key, tie if bounds.split else F.lit(0).cast("bigint").alias("tie"))
+    least = arrow(seen, first_rows, "part bigint, key bigint, tie bigint").groupBy("part").agg(F.min(F.struct("key", "tie")).alias("row"))
+    found = sorted((r["part"], r["row"]["key"], r["row"]["tie"]) for r in least.collect())
+    # the part before the one that begins with a key, or with a key and tie; the last, for the first
+    before = {(k, t if k in bounds.split else 0): found[at - 1][0] for at, (_, k, t) in enumerate(found)}
+    firsts = np.array(sorted({k for k, _ in before}), "int64")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key = np.asarray(batch.column(0))
-            part = np.searchsorted(bounds, key, "right")
-            extra = np.flatnonzero(np.isin(key, firsts))
-            rows = batch.take(pa.array(np.concatenate([np.arange(len(key)), extra])))
-            target = np.concatenate([part, [before[k] for k in key[extra].tolist()]]).astype("int64")
-            flag = np.arange(len(target)) >= len(key)
-            yield pa.RecordBatch.from_arrays([pa.array(target), pa.array(flag), *rows.columns], names)
-
-    wide = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(lowest)).alias("key"), "doc_id", "text")
+            keys, ties = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            extra, target = [], []
+            copied = set()
+            for k in np.flatnonzero(np.isin(keys, firsts)).tolist():
+                start = int(keys[k])
+                start = start, int(ties[k]) if start in bounds.split else 0
+                # of rows equal in id and text, one for each batch will do
+                if start in before and (start, text := batch.column(3)[k].as_py()) not in copied:
+                    copied.add((start, text))
+                    extra.append(k)
+                    target.append(before[start])
+            rows = batch.take(pa.array(np.concatenate([np.arange(len(keys)), np.array(extra, "int64")])))
+            part = np.concatenate([bounds.part(keys, ties), np.array(target, "int64")])
+            flag = np.arange(len(part)) >= len(keys)
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(flag), *rows.columns], names)
+
+    wide = docs.select(key, tie, "doc_id", "text")
     names = ["part", "extra", *wide.columns]
-    schema = ", ".join(
-        ["part bigint", "extra boolean", "key bigint", f"doc_id {docs.schema['doc_id'].dataType.simpleString()}", "text string"]
-    )
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"part bigint, extra boolean, key bigint, tie bigint, doc_id {kind}, text string"
     dealt = arrow(wide, deal, schema).repartition(tasks, "part")
-    return dealt.sortWithinPartitions("part", "extra", "key", "text").select("part", "extra", "doc_id", "text")
+    return dealt.sortWithinPartitions("part", "extra", "key", "tie", "text").select("part", "extra", "doc_id", "text")
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:

@@ -4,12 +4,15 @@ import hashlib
 import random
 
 import numpy as np
+import xxhash
 
 from candela.llm import parsing
 
 
 def order(row):
-    return (row.doc_id is not None, row.doc_id or 0, row.text is not None, row.text or "")
+    text = row.text or ""
+    tie = xxhash.xxh64(text.encode(), seed=42).intdigest()
+    return (row.doc_id is not None, row.doc_id or 0, tie - (tie >> 63 << 64), text)
 
 
 def expected(rows):
@@ -55,3 +58,23 @@ def test_batches_do_not_matter(docs):
     assert (parsing.fingerprints(texts) == np.concatenate([parsing.fingerprints([t]) for t in texts])).all()
     blank = parsing.fingerprints(["", None])
     assert not blank.any() and parsing.likeness(blank[:1], blank[1:])[0] == 1
+
+
+def test_a_hot_id_is_split(docs, monkeypatch):
+    monkeypatch.setattr(parsing, "RANGE_ROWS", 10)
+    for hot in ("NULL", "60", "9223372036854775807", "9007199254740993"):
+        third = docs.selectExpr(f"CASE WHEN doc_id % 3 = 0 THEN {hot} ELSE doc_id END AS doc_id", "text").cache()
+        assert got(third.repartition(4)) == expected(third.collect())
+        parts = parsing.with_next(third).filter("NOT extra").groupBy("part").count().collect()
+        assert sum(r["count"] for r in parts) == third.count() and max(r["count"] for r in parts) < 60
+    same = docs.selectExpr("CASE WHEN doc_id % 3 > 0 THEN 7 ELSE doc_id END AS doc_id", "IF(doc_id % 3 > 0, 'one text', text) AS text")
+    assert got(same.repartition(4)) == expected(same.collect())
+    assert parsing.with_next(same.coalesce(1)).filter("extra").count() < 40
+
+
+def test_bounds():
+    bounds = parsing.Bounds.of([3, 5, 9], {5: 3})
+    keys = np.array([1, 3, 4, 5, 5, 5, 6, 8, 9, 99])
+    ties = np.array([0, 0, 0, -(1 << 63), 0, (1 << 63) - 1, 0, 0, 0, 0])
+    assert bounds.part(keys, ties).tolist() == [0, 1, 1, 2, 3, 4, 5, 5, 6, 6]
+    assert parsing.Bounds.of([], {}).part(keys, ties).tolist() == [0] * 10
