@@ -31,6 +31,11 @@ SYLLABLES = (
     "th er on an re he in ed nd ha at en es of or nt ea ti to it st io le is ou ar as de rt ve ung sch keit ein ver ge "
     "ción mente ado que los las ñ eau tion ment ent les é è ka ri mo ну ст по 人 の 語 ва"
 ).split()
+# Some of the most frequent words of four languages.
+FREQUENT = (
+    "the of and to in is was for that with on as by at from it are this which not "
+    "der die und das ist nicht mit von ein auf le la les des est une dans que pour el los las por con una del"
+).split()
 
 
 class PageMaker:
@@ -40,6 +45,8 @@ class PageMaker:
         self.r = random.Random(seed)
 
     def word(self) -> str:
+        if self.r.random() < 0.25:
+            return self.r.choice(FREQUENT)
         return "".join(self.r.choice(SYLLABLES) for _ in range(self.r.randint(1, 4)))
 
     def words(self, low: int, high: int) -> str:
@@ -64,6 +71,8 @@ class PageMaker:
             name = f"{name} {self.made_up()}"
         if self.r.random() < 0.3:
             name += self.r.choice((" ", "-", "_")) + self.r.choice(NEUTRAL.split())
+        elif names != CONTENT and self.r.random() < 0.15:
+            name += self.r.choice(("-", "_")) + self.r.choice(("banner", "bar", "area", "list"))
         how = self.r.random()
         if how < 0.6:
             return f' class="{name}"'
@@ -94,6 +103,8 @@ class PageMaker:
             return ["<ul>"] + [f'<li><a href="/{k}">{text(1, 2)}</a></li>' for k in range(r.randint(2, 9))] + ["</ul>"]
         if kind == "comments":
             out = []
+            if r.random() < 0.35:
+                return [f"<p>{text(3, 40)}</p>" for _ in range(r.randint(1, 3))]
             for _ in range(r.randint(1, 6)):
                 out += [f"<div{self.attributes('comment user reply item')}>", f"<b>{text(1, 2)}</b>", f"<p>{text(3, 40)}</p>", "</div>"]
             return out
@@ -103,6 +114,8 @@ class PageMaker:
             items = [f'<li><a href="/s{k}">{text(2, 9)}</a></li>' for k in range(r.randint(1, 7))]
             return [f"<h3>{text(1, 3)}</h3>", "<ul>", *items, "</ul>"]
         tag = r.choice(("p", "div", "span", "small"))
+        if kind == "header" and r.random() < 0.3:  # the site's name
+            return [f"<h1>{text(1, 4)}</h1>"] + [f"<p>{text(2, 9)}</p>"] * r.randint(0, 1)
         if r.random() < 0.4:
             return [text(2, 25)]
         return [f"<{tag}>{text(2, 25)}</{tag}>" for _ in range(r.randint(1, 3))]
@@ -110,6 +123,8 @@ class PageMaker:
     def part(self, kind: str) -> str:
         r = self.r
         semantic = {"nav": "nav", "header": "header", "footer": "footer", "aside": "aside", "form": "form"}.get(kind)
+        if kind == "nav" and r.random() < 0.3:  # a bare list of links
+            return "".join(self.noise(kind))
         tag = semantic if semantic and r.random() < 0.6 else r.choice(("div", "div", "section"))
         plain = tag == semantic and r.random() < 0.6
         attributes = "" if plain else self.attributes(PARTS[kind])
@@ -118,7 +133,7 @@ class PageMaker:
     def article(self) -> str:
         r = self.r
         out = [f"<{h}>{self.words(2, 12)}</{h}>" for h in ("h1", "h2")[: r.randint(0, 1) + (r.random() < 0.3)]]
-        for _ in range(r.choice((1, 2, 3, 5, 8, 12, 20, 30))):
+        for _ in range(r.choice((1, 2, 2, 3, 4, 6, 9, 14, 20, 30))):
             how, text = r.random(), self.words(*r.choice(((1, 4), (3, 15), (15, 60), (40, 120))))
             if how < 0.72:
                 out.append(f"<p>{self.inline(text)}" + ("</p>" if r.random() < 0.85 else ""))
@@ -147,12 +162,17 @@ class PageMaker:
                 pieces.append(f"\x01<p>{self.words(8, 50)}</p>\x02")
         tag = r.choice(("article", "article", "main", "div", "div", "section"))
         attributes = "" if tag in ("article", "main") and r.random() < 0.5 else self.attributes(CONTENT)
+        if r.random() < 0.15:  # a name that nobody knows
+            attributes = f' class="{self.made_up()}"'
         body = [f"<{tag}{attributes}>{''.join(pieces)}</{tag}>"]
-        if r.random() < 0.4:
+        if r.random() < 0.3:  # nothing around the article
+            body = ["".join(pieces)]
+        elif r.random() < 0.4:
             body = [f"<div{self.attributes(NEUTRAL)}>{body[0]}</div>"]
-        before = [k for k in ("header", "nav", "notice", "ad", "form", "aside") if r.random() < 0.45]
-        after = [k for k in ("comments", "aside", "ad", "form", "nav", "notice") if r.random() < 0.3]
-        after += ["footer"] if r.random() < 0.8 else []
+        many = r.choice((1, 1, 1, 0.4, 0))  # some pages hold little but an article
+        before = [k for k in ("header", "nav", "notice", "ad", "form", "aside") if r.random() < 0.45 * many]
+        after = [k for k in ("comments", "aside", "ad", "form", "nav", "notice") if r.random() < 0.3 * many]
+        after += ["footer"] if r.random() < 0.8 * many else []
         parts = [self.part(k) for k in before] + body + [self.part(k) for k in after]
         if r.random() < 0.3:
             parts = [f"<div{self.attributes(NEUTRAL)}>", *parts, "</div>"]

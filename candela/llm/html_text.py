@@ -26,14 +26,14 @@ from candela.llm.html_pages import PageMaker
 from candela.llm.html_parse import HIDDEN as HIDDEN_PART
 from candela.llm.html_parse import Block, blocks, path_of
 
-PATH_DIM, WORD_DIM, MEASURES = 192, 32, 8
+PATH_DIM, WORD_DIM, MEASURES = 320, 32, 8
 INPUT = PATH_DIM + WORD_DIM + MEASURES
 HIDDEN = 24
 #: Elements whose name says that they hold no main text; the labeller decides on all others. A form that holds
 #: most of the page's text is the page's frame, and says nothing.
 NEVER = frozenset(("nav", "footer", "aside", "form", "dialog"))
 FORM = frozenset(("form",))
-PAGES, EPOCHS, BATCH, RATE, SEED = 1_500, 6, 32, 0.01, 42
+PAGES, EPOCHS, BATCH, RATE, SEED = 3_000, 6, 32, 0.01, 42
 
 
 @lru_cache(200_000)
