@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from candela.llm import langid
@@ -36,3 +38,40 @@ def test_unknown_texts(docs, odd, none):
     assert langid.predict(none, model).count() == 0
     empty = langid.fit(none, langid.training_rows())
     assert empty.predict(["word"]) == [("und", 0.0, True)]
+
+
+def slow_predict(model, text):
+    """The same law in plain loops: counts of n-grams in a dictionary, one cosine after the other."""
+    lowered = (text or "").lower()
+    if not any(c.isalpha() for c in text or ""):
+        return "und", 0.0, True
+    kept = ""
+    for k, c in enumerate(lowered):
+        if c.isalpha():
+            kept += c
+        elif k == 0 or lowered[k - 1].isalpha():
+            kept += " "
+    counts = {}
+    for order in langid.ORDERS:
+        for k in range(len(kept) - order + 1):
+            code = 0
+            for c in kept[k : k + order]:
+                code = (code ^ ord(c)) * 0x9E3779B1 % (1 << 32)
+            bucket = (code + order * 0x85EBCA6B) % (1 << 32) >> 18
+            counts[bucket] = counts.get(bucket, 0) + 1
+    vector = {b: (1 + math.log(n)) * float(model.idf[b]) for b, n in counts.items()}
+    norm = math.sqrt(sum(v * v for v in vector.values())) or 1.0
+    cosines = [sum(v * float(row[b]) for b, v in vector.items()) / norm for row in model.rows]
+    best = max(range(len(cosines)), key=cosines.__getitem__)
+    floor = float(model.floor[best]) * min(1.0, len(text) / langid.FULL_LENGTH) ** 0.5
+    return model.names[best], cosines[best], cosines[best] < floor
+
+
+def test_against_plain_loops(docs, odd):
+    model = langid.fit(docs, langid.training_rows())
+    texts = [r.text for r in docs.orderBy("doc_id").limit(60).collect()] + [r.text for r in odd.collect()]
+    texts += ["ÀÉÎ!", "a", " x", "word, 12 word--WORD", "İstanbul ß ǅ", "der " * 5_000 + "the " * 20_000]
+    for text, (name, score, rejected) in zip(texts, model.predict(texts), strict=True):
+        expected = slow_predict(model, text)
+        assert name == expected[0] and abs(score - expected[1]) < 1e-4, text
+        assert rejected == expected[2], text
