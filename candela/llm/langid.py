@@ -8,7 +8,7 @@ below a share of what its language's own sample shows, so texts in no known
 language stand out while odd or short but clean ones pass.
 
 The classifier is fitted on a bounded sample: ``SAMPLE`` labelled documents of
-each language, ``SAMPLE_ALL`` in all, those with the smallest hash of their id,
+each language, ``SAMPLE_ALL`` in all, those with the smallest hash of id and text,
 of ``SAMPLE_CHARS`` characters at most. Prediction reads every text whole.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0
