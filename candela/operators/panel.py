@@ -38,18 +38,22 @@ def adjusted(bars: DataFrame, events: DataFrame, key: str = "user_id") -> DataFr
     )
 
 
-def average_volume(rows: Column, keys: list[str]) -> Column:
-    """Rolling mean of the last twenty rows of a key."""
-    by = Window.partitionBy(*keys).orderBy("trade_date").rowsBetween(-(ADV_WINDOW - 1), 0)
+def average_volume(rows: Column, keys: list[str], ties: tuple[str, ...] = ()) -> Column:
+    """Rolling mean of the last twenty rows of a key; ``ties`` order the rows of a day."""
+    by = Window.partitionBy(*keys).orderBy("trade_date", *ties).rowsBetween(-(ADV_WINDOW - 1), 0)
     return F.avg(rows).over(by)
 
 
 def universe_flags(bars: DataFrame, keys: list[str], floor: float = 0.0, delisting: Column | None = None) -> DataFrame:
-    """Bars with series_flag, adv, is_tradeable and in_universe."""
+    """Bars with series_flag, adv, is_tradeable and in_universe.
+
+    Where a key has several rows of a day, they are taken by traded identifier and symbol, so that a rerun gives the same.
+    """
     flag = classify_series(F.col("series"))
     tradeable = F.col("series_flag").isin(*UNIVERSE_SERIES) & (classify_isin(F.col("isin")) == "EQUITY")
     listed = F.lit(True) if delisting is None else F.coalesce(F.col("trade_date") <= delisting, F.lit(True))
-    flagged = bars.withColumns({"series_flag": flag, "adv": average_volume(F.col("turnover"), keys)})
+    ties = tuple(c for c in ("isin_traded", "symbol") if c in bars.columns and c not in keys)
+    flagged = bars.withColumns({"series_flag": flag, "adv": average_volume(F.col("turnover"), keys, ties)})
     flagged = flagged.withColumn("is_tradeable", tradeable)
     inside = F.col("is_tradeable") & listed & (F.coalesce(F.col("adv"), F.lit(0.0)) >= floor)
     return flagged.withColumn("in_universe", inside)

@@ -42,13 +42,13 @@ def written(path, rows):
     return path
 
 
-def same(name, spark, path):
+def same(name, spark, path, sql=None):
     rows = QUERIES[name](spark, path)
     names = sorted(rows.columns)
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
     con.execute(f"CREATE VIEW events AS SELECT * FROM '{path}/events.parquet'")
-    cursor = con.execute(ORACLES[name])
+    cursor = con.execute(sql or ORACLES[name])
     at = [[d[0] for d in cursor.description].index(n) for n in names]
     expected = sorted((tuple(r[k] for k in at) for r in cursor.fetchall()), key=repr)
     assert expected
@@ -63,3 +63,17 @@ def test_closes_of_zero(name, spark, odd_dir):
 @pytest.mark.parametrize("name", ["src_modern_bars", "src_legacy_bars"])
 def test_shared_identifiers(name, spark, shared_dir):
     same(name, spark, shared_dir)
+
+
+def ordered_sql(name):
+    """The SQL with the rows of a day in the order of their traded identifiers and symbols, which it leaves open."""
+    sql = ORACLES[name]
+    tied = sql.replace(", series ORDER BY trade_date ROWS", ", series ORDER BY trade_date, isin, symbol ROWS")
+    tied = tied.replace(", series ORDER BY trade_date\nROWS", ", series ORDER BY trade_date, isin, symbol\nROWS")
+    assert tied != sql
+    return tied
+
+
+@pytest.mark.parametrize("name", ["gold_universe_flags"])
+def test_rows_of_a_day_have_an_order(name, spark, shared_dir):
+    same(name, spark, shared_dir, ordered_sql(name))
