@@ -74,7 +74,7 @@ def test_closes_of_zero(name, spark, odd_dir):
     same(name, spark, odd_dir)
 
 
-@pytest.mark.parametrize("name", ["qlt_quarantine", "qlt_status", "qlt_universe", "rsv_breaks"])
+@pytest.mark.parametrize("name", ["qlt_quarantine", "qlt_status", "qlt_universe", "rsv_breaks", "win_break_per_id"])
 def test_days_that_end_without_a_value(name, spark, null_dir):
     same(name, spark, null_dir)
 
