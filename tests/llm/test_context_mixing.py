@@ -179,3 +179,30 @@ def test_held_out_texts_score_above_base_and_copies_apart(docs):
     usual = np.quantile([r.bits_per_byte for i, r in found.items() if i < 100_000 and i + 100_000 not in found and r.bits_per_byte], 0.1)
     twice = [found[i] for i, _ in copies if not found[i - 100_000].held_out]  # the other is learnt from
     assert np.mean([r.bits_per_byte < usual for r in twice]) > 0.9
+
+
+def test_every_occurrence_trains():
+    """A token met many times trains by each of them: dealt to all steps, none lost, and the weights differ."""
+    times = np.array([40_000, 700, 3, 1, 1, 12_345])
+    who, weight, cuts = lm.dealt_steps(times)
+    assert np.bincount(who, weight).tolist() == times.tolist()
+    steps = len(cuts) - 1
+    each = [weight[a:b].sum() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    assert cuts[-1] == len(who) and steps >= 100 and max(each) < 1.1 * times.sum() / steps
+    words = [b"the", b"bating", b"hot", b"zqx", b"kel", b"of"]
+    code, length = lm.huffman(np.bincount(np.frombuffer(b" ".join(words), "uint8"), minlength=256))
+    bits = lm.spelt(words, code, length)
+    many = np.repeat(times, np.diff(np.append(bits.starts, len(bits.bit))))
+    size = len(lm.ORDERS) << lm.SLOT_BITS
+    ones = sum(np.bincount(s, bits.bit * many, size) for s in bits.slots)
+    n = sum(np.bincount(s, many, size) for s in bits.slots)
+    part = lm.train_part(code, length, ones, n, words, times)
+    assert part.seen.sum() == part.met.sum() == many.sum()
+
+
+def test_counts_and_training_are_over_occurrences(spark):
+    rows = [("hot " * 900 + "zqx",), ("bating hot kel",)]
+    docs = spark.createDataFrame(rows, "text string").select(F.lit(True).alias("training"), "text")
+    mixer = lm.fit(lm.count_tokens(docs))
+    hot, rare = mixer.log10([b"hot", b"kel"])
+    assert hot > math.log10(0.8) and rare < hot - 1
