@@ -200,6 +200,46 @@ def test_every_occurrence_trains():
     assert part.seen.sum() == part.met.sum() == many.sum()
 
 
+def test_a_prefix_shared_in_a_step_is_computed_once(monkeypatch):
+    """Training over what tokens of a step share gives what training over each of them gives, from fewer bits."""
+    words = sorted({f"{a}{b}{c}".encode() for a in ("inter", "ins", "x", "") for b in ("act", "ac", "") for c in ("ing", "ed", "s", "")})
+    words += [b"x", b"inter" * 9 + b"s", b"inter" * 9 + b"t", b"x"]  # unsorted, repeated, and longer than what is shared
+    times = np.arange(len(words)) * 37 % 500 + 1
+    code, length = lm.huffman(np.bincount(np.frombuffer(b" ".join(words), "uint8"), minlength=256))
+    all_bits = lm.spelt(words, code, length)
+    many = np.repeat(times, np.diff(np.append(all_bits.starts, len(all_bits.bit))))
+    size = len(lm.ORDERS) << lm.SLOT_BITS
+    ones = sum(np.bincount(s, all_bits.bit * many, size) for s in all_bits.slots)
+    n = sum(np.bincount(s, many, size) for s in all_bits.slots)
+
+    who, weight, cuts = lm.dealt_steps(times)
+    weights, seen, spelt = np.full((lm.GATES, len(lm.ORDERS)), 0.3), np.zeros(lm.GATES), 0
+    rounds = lm.SEEN // int(times.sum())
+    assert 0 < rounds < 30
+    for round_ in range(rounds):
+        for at, end in zip(cuts[:-1], cuts[1:], strict=True):
+            move, met = np.zeros_like(weights), np.zeros(lm.GATES)
+            for i, w in zip(who[at:end], weight[at:end], strict=True):
+                bits = lm.spelt([words[i]], code, length)
+                here = np.maximum(n[bits.slots] - 1, 0)
+                logits = lm.stretch_counts(np.clip(ones[bits.slots] - bits.bit, 0, here), here)
+                gates = lm.gate(lm.confidence(here))
+                error = w * (bits.bit - lm.squash((logits.T * weights[gates]).sum(axis=1)))
+                np.add.at(move, gates, (error * logits).T)
+                np.add.at(met, gates, w)
+                spelt += len(bits.bit)
+            rate = np.minimum(lm.MIXER_RATE * met**0.5, lm.LARGEST_MOVE) / np.maximum(met, 1)
+            weights += move * rate[:, None]
+            seen += met if round_ == rounds - 1 else 0
+
+    computed = []
+    squash = lm.squash
+    monkeypatch.setattr(lm, "squash", lambda x: computed.append(len(x)) or squash(x))
+    part = lm.train_part(code, length, ones, n, words, times)
+    assert np.allclose(part.weights, weights, rtol=1e-9) and part.seen.tolist() == seen.tolist()
+    assert sum(computed) < 0.7 * spelt
+
+
 def test_counts_and_training_are_over_occurrences(spark):
     rows = [("hot " * 900 + "zqx",), ("bating hot kel",)]
     docs = spark.createDataFrame(rows, "text string").select(F.lit(True).alias("training"), "text")
