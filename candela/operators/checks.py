@@ -73,9 +73,9 @@ def chain_bars_before(factored: DataFrame, bars: DataFrame, chain: str, symbol:
     """Events with the number of earlier bars of their chain and of their symbol.
 
     Earlier bars are counted by a running count over one timeline per key, not
-    by a range join.
+    by a range join. Bars without a day are before no event.
     """
-    out = factored
+    out, bars = factored, bars.filter("trade_date is not null")
     for key, name in ((chain, "chain_bars"), (symbol, "symbol_bars")):
         day = F.datediff(F.col("_d"), F.lit("1970-01-01").cast("date"))
         facts = bars.groupBy(key, F.col("trade_date").alias("_d")).agg(F.count(F.lit(1)).alias("_n"))

@@ -61,6 +61,18 @@ def below_dir(tmp_path_factory):
     return written(str(tmp_path_factory.mktemp("below")), rows)
 
 
+@pytest.fixture(scope="module")
+def timeless_dir(tmp_path_factory):
+    """Users some of whose bars and actions have no time; the bonus of some users with such bars comes before all others."""
+    rows = []
+    for user in range(101, 107):
+        days = [dt.datetime(2024, 1, day, 9) for day in range(5, 25)]
+        rows += [(7 * (len(rows) + k), at, user, "view", 10.0 + k % 7, "{}") for k, at in enumerate(days)]
+        rows.append((1, None, user, "view", 9.0, "{}"))
+        rows.append((21 * user + 3, None if user % 2 else dt.datetime(2024, 1, 2), user, "signup", 5.0, "{}"))  # 3 more than a multiple of 7 and 3
+    return written(str(tmp_path_factory.mktemp("timeless")), rows)
+
+
 @pytest.fixture(scope="module")
 def tie_dir(tmp_path_factory):
     """Closes whose gaps end in a five at the ninth place, and zeros of both signs."""
@@ -109,6 +121,10 @@ def test_values_below_zero_and_beyond_all_numbers(name, spark, below_dir):
     same(name, spark, below_dir)
 
 
+def test_bars_without_a_day_are_before_no_action(spark, timeless_dir):
+    same("qlt_status", spark, timeless_dir)
+
+
 def test_gaps_are_rounded_and_signed_as_the_sql_has_them(spark, tie_dir):
     same("win_break_per_series", spark, tie_dir)
 
