@@ -14,12 +14,12 @@ def asof_before(left: DataFrame, right: DataFrame, on: str, at: str, time: str,
     Both sides become one timeline, so there is one exchange on the key and no
     range join; the frame ends one day before the row. Where several rows share
     the latest day, the largest by the taken values counts. ``right`` rows with
-    a NULL first taken value do not count.
+    a NULL first taken value do not count, nor do those without a key.
     """
     names = left.columns
     first = next(iter(take))
     values = F.struct(F.col(time).alias("_t"), *[F.col(c).alias(c) for c in take])
-    facts = right.filter(F.col(first).isNotNull() & F.col(time).isNotNull()).groupBy(on, time).agg(F.max(values).alias("_seen"))
+    facts = right.filter(F.col(on).isNotNull() & F.col(first).isNotNull() & F.col(time).isNotNull()).groupBy(on, time).agg(F.max(values).alias("_seen"))
     facts = facts.select(on, F.datediff(F.col(time), F.lit("1970-01-01").cast("date")).alias("_day"), "_seen")
     wanted = left.select("*", F.datediff(F.col(at), F.lit("1970-01-01").cast("date")).alias("_day"), F.lit(True).alias("_ask"))
     line = wanted.unionByName(facts, allowMissingColumns=True)

@@ -40,7 +40,7 @@ def adjusted(bars: DataFrame, events: DataFrame, key: str = "user_id") -> DataFr
 
 def average_volume(rows: Column, keys: list[str], ties: tuple[str, ...] = ()) -> Column:
     """Rolling mean of the last twenty rows of a key; ``ties`` order the rows of a day."""
-    by = Window.partitionBy(*keys).orderBy("trade_date", *ties).rowsBetween(-(ADV_WINDOW - 1), 0)
+    by = Window.partitionBy(*keys).orderBy(F.col("trade_date").asc_nulls_last(), *ties).rowsBetween(-(ADV_WINDOW - 1), 0)
     return F.avg(rows).over(by)
 
 
@@ -89,29 +89,30 @@ def materialise(
     canonical_isin), debt series are left out, and then the last bar of a
     security is its edge. Events (isin, ex_date, factors, state, learned_at)
     that were known at ``as_of`` and are not after the edge give the cumulative
-    factors. ``delisted`` has isin and delisting_date. Bars and the events' days
-    meet in one timeline, so that edge, products and volumes share an exchange.
+    factors. ``delisted`` has isin and delisting_date. Bars and events meet in
+    one timeline, so that edge, products and volumes share an exchange; the
+    events are multiplied in the order of their day, time and ``event_id``.
     """
     named = lambda df: canonical(df, links).withColumnRenamed("isin", "isin_traded").withColumnRenamed("canonical_isin", "isin")
     rows, known = named(panel_series(bars)), named(events if as_of is None else known_at(events, as_of))
     if ids is not None:
         wanted = ids.select("isin").distinct()
         rows, known = rows.join(wanted, "isin", "left_semi"), known.join(wanted, "isin", "left_semi")
-    usable = lambda c: F.when(F.col(c) > 0, F.col(c))
-    daily = multiplying(known).groupBy("isin", F.col("ex_date").alias("trade_date"))
-    daily = daily.agg(F.max("learned_at").alias("_learned"), *[F.product(usable(c)).alias(f"_{c}") for c in CUMULATIVE])
-    line = rows.withColumn("_bar", F.lit(True)).unionByName(daily, allowMissingColumns=True)
-    whole = Window.partitionBy("isin")
-    line = line.withColumns(
-        {
-            "_edge": F.max(F.when(F.col("_bar"), F.col("trade_date"))).over(whole),
-            "factor_asof": F.max("_learned").over(whole),
-            "_day": F.datediff("trade_date", F.lit("1970-01-01").cast("date")),
-        }
+    usable = lambda c: F.when(F.col(c) > 0, F.col(c)).alias(f"_{c}")
+    number = F.col("event_id") if "event_id" in known.columns else F.lit(None)
+    acts = multiplying(known).select(
+        "isin", F.col("ex_date").alias("trade_date"), F.col("learned_at").alias("_learned"), number.alias("_number"), *[usable(c) for c in CUMULATIVE]
     )
-    after = Window.partitionBy("isin").orderBy(F.col("_day").desc()).rangeBetween(Window.unboundedPreceding, -1)
+    line = rows.withColumn("_bar", F.lit(True)).unionByName(acts, allowMissingColumns=True)
+    whole = Window.partitionBy("isin")
+    line = line.withColumns({"_edge": F.max(F.when(F.col("_bar"), F.col("trade_date"))).over(whole), "factor_asof": F.max("_learned").over(whole)})
+    # from the last day back, the bars of a day before its events; the events one by one in a fixed order, as a product depends on it in its last digit
+    order = ["trade_date", "_bar", "_learned", "_number", *[f"_{c}" for c in CUMULATIVE]]
+    after = Window.partitionBy("isin").orderBy(*[F.col(c).desc_nulls_last() for c in order]).rowsBetween(Window.unboundedPreceding, 0)
     inside = F.col("trade_date") <= F.col("_edge")
-    products = {name: F.coalesce(F.product(F.when(inside, F.col(f"_{c}"))).over(after), F.lit(1.0)) for c, name in CUMULATIVE.items()}
+    dated = F.col("trade_date").isNotNull()  # a bar without a day is before no event
+    later = lambda c: F.when(dated, F.product(F.when(inside, F.col(f"_{c}"))).over(after))
+    products = {name: F.coalesce(later(c), F.lit(1.0)) for c, name in CUMULATIVE.items()}
     gold = line.withColumns(products).filter("_bar")
     prices = [c for c in ("o", "h", "l", "c", "vwap") if c in bars.columns]
     gold = gold.withColumns({f"{c}_adj": F.col(c) * F.col("cum_factor") for c in prices})
@@ -122,4 +123,4 @@ def materialise(
         gold = gold.join(delisted.select("isin", "delisting_date"), "isin", "left")
         day = F.col("delisting_date")
     flagged = universe_flags(gold, ["isin", "series"], floor, day)
-    return flagged.drop("_bar", "_edge", "_day", "_learned", *[f"_{c}" for c in CUMULATIVE])
+    return flagged.drop("_bar", "_edge", "_learned", "_number", *[f"_{c}" for c in CUMULATIVE])

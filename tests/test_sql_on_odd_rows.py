@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from candela.functions.scalars import rounded_as_sql
+from candela.operators.panel import materialise
 from candela.plans.catalogue import ORACLES, QUERIES
 
 
@@ -73,6 +74,37 @@ def timeless_dir(tmp_path_factory):
     return written(str(tmp_path_factory.mktemp("timeless")), rows)
 
 
+@pytest.fixture(scope="module")
+def valueless_dir(tmp_path_factory):
+    """Users none of whose events, or none before the tenth, have a value."""
+    rows = []
+    for user in range(101, 111):
+        for day in range(1, 22):
+            value = None if user < 106 or day < 10 else 10.0 + (7 * user + 3 * day) % 11
+            rows.append((7 * len(rows), dt.datetime(2024, 1, day, 9), user, "view", value, "{}"))
+    return written(str(tmp_path_factory.mktemp("valueless")), rows)
+
+
+@pytest.fixture(scope="module")
+def digits_dir(tmp_path_factory):
+    """Users of one bar each, whose turnovers lie at the edge between two numbers of six places."""
+    values = (0.24 * 0.99390625, 1.0000005, 2.5e-6, 1e300, *[k / 8 * 1.1e-6 for k in range(-40, 400)])
+    rows = [(7 * k, dt.datetime(2024, 1, 5, 9), 101 + k, "view", v, "{}") for k, v in enumerate(values)]
+    return written(str(tmp_path_factory.mktemp("digits")), rows)
+
+
+@pytest.fixture(scope="module")
+def nameless_dir(tmp_path_factory):
+    """Bars and actions without a user, which have an identifier in the SQL but no anchor."""
+    rows = []
+    for user in (None, 31, 34):
+        for day in range(1, 29):
+            rows.append((7 * len(rows), dt.datetime(2024, 1, day, 9), user, "view", 10.0 + 3 * day % 11, "{}"))
+            if day % 4 == 0:
+                rows.append((7 * len(rows) + 3, dt.datetime(2024, 1, day, 12), user, "purchase" if day % 8 else "signup", 5.0, "{}"))
+    return written(str(tmp_path_factory.mktemp("nameless")), rows)
+
+
 @pytest.fixture(scope="module")
 def tie_dir(tmp_path_factory):
     """Closes whose gaps end in a five at the ninth place, and zeros of both signs."""
@@ -166,6 +198,27 @@ def test_rows_of_a_day_have_an_order(name, spark, shared_dir):
     same(name, spark, shared_dir, ordered_sql(name))
 
 
+@pytest.mark.parametrize("rows", ["below_dir", "timeless_dir", "valueless_dir", "nameless_dir", "digits_dir"])
+@pytest.mark.parametrize("name", ["gold_materialize"])
+def test_users_days_and_values_that_are_missing_or_fine(name, rows, spark, request):
+    same(name, spark, request.getfixturevalue(rows))
+
+
+def test_events_are_multiplied_one_by_one_from_the_last(spark):
+    day, at = dt.date, dt.datetime
+    bars = spark.createDataFrame([("A", day(2024, 1, d), "EQ", 1.0, 1, 1.0) for d in (1, 20)], "isin string, trade_date date, series string, c double, volume bigint, turnover double")
+    factors = [(10 / 11, 5, 3), (3 / 7, 5, 2), (0.9, 5, 1), (7 / 13, 6, 4), (10 / 12, 4, 5)]
+    rows = [(n, "A", day(2024, 1, d), at(2024, 1, d, 9), "BONUS", "computed", f, 1 / f, None, None) for f, d, n in factors]
+    kinds = "event_id int, isin string, ex_date date, learned_at timestamp_ntz, type string, state string, factor_price double, factor_vol double, div_amount double, anchor double"
+    expected = 1.0
+    for f, _, _ in sorted(factors, key=lambda x: (-x[1], -x[2])):
+        expected *= f
+    links = spark.createDataFrame([], "isin string, canonical_isin string")
+    for some in (rows, rows[::-1], rows[2:] + rows[:2]):
+        gold = materialise(bars, links, spark.createDataFrame(some, kinds)).filter("trade_date = date'2024-01-01'")
+        assert [r[0] for r in gold.select("cum_factor").collect()] == [expected]
+
+
 def test_doubles_are_rounded_as_the_sql_rounds_them(spark):
     values = [0.24 * 0.99390625, 1.0000005, 2.5e-6, -0.24 * 0.99390625, 0.0, 1e300, *[k / 8 * 1.1e-6 for k in range(-40, 400)]]
     rows = spark.createDataFrame([(v,) for v in values], "v double").select(rounded_as_sql(F.col("v"), 6)).collect()
